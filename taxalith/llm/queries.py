@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from taxalith.llm import licenses, media, mixing, packing, quality, topk, toxicity
+from taxalith.llm import licenses, lm, media, mixing, packing, quality, topk, toxicity
 from taxalith.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op6_mixing(spark, sf_dir):
     return mixing.mix_plan(spark, sf_dir)
 
 
+def op7_lm(spark, sf_dir):
+    return lm.score_documents(spark, sf_dir)
+
+
 def op8_licenses(spark, sf_dir):
     return licenses.document_licenses(spark, sf_dir)
 
@@ -35,7 +39,7 @@ def op10_quality(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op8_licenses, op10_quality)}
+    return {f.__name__: f for f in (op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op7_lm, op8_licenses, op10_quality)}
 
 
 def oracle_sql():

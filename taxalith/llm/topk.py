@@ -45,8 +45,8 @@ def blocks(rows: DataFrame, size: int = BLOCK) -> tuple[DataFrame, int]:
 def pairs(queries: tuple[DataFrame, int], candidates: tuple[DataFrame, int]) -> DataFrame:
     """One row per pair of a query block and a candidate block of one vector length, joined on the pair's key."""
     (left, lefts), (right, rights) = queries, candidates
-    left = left.select(F.col("block").alias("q"), "dim", *(F.col(x).alias(f"q_{x}") for x in left.columns if x not in ("block", "dim")), F.explode(F.sequence(F.lit(0), F.lit(rights - 1))).cast("long").alias("c"))
-    right = right.select(F.col("block").alias("c"), "dim", "ids", "flat", F.explode(F.sequence(F.lit(0), F.lit(lefts - 1))).cast("long").alias("q"))
+    left = left.select(F.col("block").alias("q"), "dim", *(F.col(x).alias(f"q_{x}") for x in left.columns if x not in ("block", "dim")), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rights - 1).cast("long"))).alias("c"))
+    right = right.select(F.col("block").alias("c"), "dim", "ids", "flat", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lefts - 1).cast("long"))).alias("q"))
     return left.join(right, ["q", "c", "dim"])
 
 
