@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from taxalith.llm import licenses, lm, media, mixing, packing, quality, topk, toxicity
+from taxalith.llm import jaccard, licenses, lm, media, mixing, packing, quality, topk, toxicity
 from taxalith.llm.common import table
 
 
@@ -34,12 +34,16 @@ def op8_licenses(spark, sf_dir):
     return licenses.document_licenses(spark, sf_dir)
 
 
+def op9_jaccard(spark, sf_dir):
+    return jaccard.joined(spark, sf_dir)
+
+
 def op10_quality(spark, sf_dir):
     return quality.quality_documents(spark, sf_dir)
 
 
 def queries():
-    return {f.__name__: f for f in (op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op7_lm, op8_licenses, op10_quality)}
+    return {f.__name__: f for f in (op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op7_lm, op8_licenses, op9_jaccard, op10_quality)}
 
 
 def oracle_sql():
