@@ -288,3 +288,10 @@ def _with_components(own: DataFrame, classes: DataFrame, roots: DataFrame) -> Da
 
 def joined(spark, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """documents without those that are linked to one of a smaller id; rows without an id stay."""
+    gone = staged(linked(documents.select("doc_id", "text")).filter("doc_id != component_id").select("doc_id").distinct())
+    few = gone.count() <= HELD
+    return documents.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from taxalith.llm import jaccard, licenses, lm, media, mixing, packing, quality, topk, toxicity
+from taxalith.llm import jaccard, licenses, lines, lm, media, mixing, packing, quality, topk, toxicity
 from taxalith.llm.common import table
 
 
+def op1_lines(spark, sf_dir):
+    return lines.document_lines(spark, sf_dir)
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.toxic_documents(spark, sf_dir)
 
@@ -43,7 +47,7 @@ def op10_quality(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op7_lm, op8_licenses, op9_jaccard, op10_quality)}
+    return {f.__name__: f for f in (op1_lines, op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op7_lm, op8_licenses, op9_jaccard, op10_quality)}
 
 
 def oracle_sql():

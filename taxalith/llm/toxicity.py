@@ -205,3 +205,16 @@ def score(documents: DataFrame, model: Model, cut: float = 0.7) -> DataFrame:
 def toxic_documents(spark, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return score(documents, fit(documents, table(spark, sf_dir, "labels")))
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFrame:
+    """documents whose score stays below cut, with all their columns."""
+    model = fit(documents, labels)
+
+    def rows(batches):
+        scorer = Scorer(model)
+        for batch in batches:
+            s = scorer(batch.column(batch.schema.get_field_index("text")).to_pylist())
+            yield batch.filter(pa.array([x < cut for x in s], pa.bool_()))
+
+    return documents.mapInArrow(rows, documents.schema)
