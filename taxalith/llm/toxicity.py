@@ -49,7 +49,7 @@ def gram_table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.concatenate(([0], np.cumsum(n)))
     left = at[word + 1] - np.arange(len(code))
     rolled, ids, owners = np.zeros(len(code), np.uint64), [], []
-    for k in range(1, LARGEST + 1):
+    for k in range(1, min(LARGEST, len(code)) + 1):
         rolled[: len(code) - k + 1] = rolled[: len(code) - k + 1] * PRIME + code[k - 1 :] if k > 1 else code
         if k >= SMALLEST:
             fits = np.flatnonzero(left >= k)
@@ -75,7 +75,7 @@ def sigmoid(x):
 def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30, rate: float = 0.3, decay: float = 0.03) -> Model:
     """Fits embeddings and softmax together. One class only, or no rows: every score is that class's smoothed share."""
     y = np.asarray(labels, float)
-    if not len(y) or y.min() == y.max():
+    if not len(y) or y.min() == y.max() or not any(map(words_of, texts)):
         p = (y.sum() + 0.5) / (len(y) + 1)
         return Model(np.zeros(BUCKETS, np.float32), 0.0, float(np.log(p / (1 - p))))
     known: dict[str, int] = {}

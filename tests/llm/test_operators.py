@@ -1,0 +1,243 @@
+import collections
+import hashlib
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from taxalith.llm import graph, jaccard, licenses, lines, lm, media, mixing, packing, quality, topk, toxicity
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, size string"
+LONG = " ".join(f"w{i}" for i in range(30_000))
+
+
+def docs(spark, texts, sources=None):
+    sources = sources or ["a", None, "b"]
+    return spark.createDataFrame([(i, t, "en", sources[i % len(sources)], len(t or ""), 0.5, "x") for i, t in enumerate(texts)], DOCS)
+
+
+TEXTS = [None, "", "one", "b c d e", LONG, "same words go here again", "same words go here again", "line one\n\nline two\nline one", "ünï cödé " * 9, "\n\n \n"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empties, a very long text, repeated texts, a repeated row, a null id, clashing column names."""
+    df = docs(spark, TEXTS)
+    return df.unionByName(df.filter("doc_id = 5")).unionByName(df.filter("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
+
+
+def test_media_round_trip(spark, odd):
+    rng = random.Random(1)
+    for n in (0, 1, 64, 1025, 8193, 140_000):
+        payload, size = media.payload_of("é" * n)
+        stored = media.mux(payload)
+        got = media.parse(stored)
+        assert got.complete and media.samples(stored, got) == payload and size == 2 * n
+        assert all(stored[c.cluster_offset : c.cluster_offset + 4] == b"\x1f\x43\xb6\x75" for c in got.cues)
+        cut = media.parse(stored[: rng.randrange(len(stored))])
+        assert not cut.complete or not cut.packets or n == 0
+    assert not media.parse(b"junk").packets and not media.parse(None).complete
+    rows = media.document_media(odd).collect()
+    assert len(rows) == len(TEXTS) + 2
+    for r in rows:
+        raw = (TEXTS[r.doc_id if r.doc_id is not None else 3] or "").encode()
+        padded = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:]))
+    assert media.packet_table(media.as_media(odd)).filter("doc_id = 4").count() == -(-rows[4].payload_bytes // 1024)
+    assert media.document_media(odd.limit(0)).count() == 0
+
+
+def test_unknown_sizes_and_block_groups():
+    body = media.unsigned(media.CLUSTER_TIMESTAMP, 7) + media.element(media.BLOCK_GROUP, media.element(media.BLOCK, media.block(2, 1, [memoryview(b"ab"), memoryview(b"cde")], media.XIPH)) + media.unsigned(media.REFERENCE_BLOCK, 1))
+    cluster = media.CLUSTER.to_bytes(4, "big") + b"\xff" + body
+    got = media.parse(media.SEGMENT.to_bytes(4, "big") + b"\x01" + b"\xff" * 7 + cluster + cluster)
+    assert got.complete and got.clusters == 2 and [(p.track, p.timestamp_ns, p.keyframe, p.length) for p in got.packets[:2]] == [(2, 8_000_000, False, 2), (2, 8_000_000, False, 3)]
+
+
+def test_toxicity_learns_stems():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randrange(3, 8)))
+    make = lambda bad: " ".join([word() for _ in range(60)] + ["vileword" + word()[:2]] * bad)
+    texts, labels = [make(i % 2) for i in range(400)], [i % 2 for i in range(400)]
+    model = toxicity.train(texts[:300], labels[:300])
+    got = [s >= 0.7 for s in toxicity.Scorer(model)(texts[300:])]
+    assert np.mean(np.array(got) == np.array(labels[300:])) > 0.95
+    assert toxicity.Scorer(model)([None, ""]) == [pytest.approx(toxicity.Scorer(model)([""])[0])] * 2
+    assert 0 < toxicity.Scorer(toxicity.train([], []))(["x"])[0] < 1
+
+
+def test_quality_learns_shapes(spark, odd):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    good, bad = [" ".join(word() for _ in range(40)) for _ in range(60)], [" ".join(word().upper() + "!!" for _ in range(40)) for _ in range(60)]
+    model = quality.train(good[:40] + bad[:40], [1] * 40 + [0] * 40)
+    score = quality.Scorer(model)
+    assert all(score(t) > 0.5 for t in good[40:]) and all(score(t) < 0.5 for t in bad[40:])
+    rows = quality.score(odd, model).collect()
+    assert len(rows) == len(TEXTS) + 2 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    labels = spark.createDataFrame([(0, None, 1), (None, 1, 0), (2, 1, 0), (3, 0, 1)], "doc_id long, quality int, toxic int")
+    assert quality.score(odd, quality.fit(odd, labels)).count() == len(TEXTS) + 2
+    assert toxicity.score(odd, toxicity.fit(odd, labels)).count() == len(TEXTS) + 2
+    assert toxicity.without_toxic(odd, labels).columns == odd.columns
+
+
+def test_packing_is_whole_and_gapless(spark, odd):
+    from tokenizers import Tokenizer
+
+    rows = packing.packed(odd).collect()
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    plain.encode_special_tokens = True
+    n = {i: len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(TEXTS)}
+    own = collections.defaultdict(list)
+    for r in rows:
+        own[r.doc_id].append(r)
+    for i, size in n.items():
+        assert sum(r.length for r in own[i]) == size * (2 if i == 5 else 1)
+    first = sorted(own[4], key=lambda r: r.piece)
+    assert [r.length for r in first[1:]] == [2048] * (len(first) - 1) and first[0].length == (n[4] % 2048 or 2048)
+    ids = [*plain.encode(TEXTS[3], add_special_tokens=False).ids, 0]
+    assert own[3][0].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+    by_sequence = collections.defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+
+
+def test_packing_plan_is_near_the_bound():
+    rng = random.Random(5)
+    counts = collections.Counter(min(2048, int(rng.lognormvariate(6.3, 0.9)) + 1) for _ in range(5000))
+    places, bins = packing.planned(counts)
+    assert sum(p.n for p in places) == 5000 and bins <= 1.02 * -(-sum(k * v for k, v in counts.items()) // 2048) + 1
+    assert packing.planned({}) == ([], 0)
+
+
+def test_encoder_equals_the_tokenizer():
+    e = packing.Encoder(packing.tokenizer_path())
+    e.probe = 0
+    for t in ["it's a test, yes.\nAnd more", "a  b", " x\n\n y", "ünï. cödé, 12 3.4", "a　b c", "<|endoftext|> x", "end. ", "don't, won't."]:
+        assert e([t])[0] == np.asarray(e.defined(t), "<u4").tobytes(), t
+
+
+def test_top_k_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(300, 10)).round(1)
+    v[100:160] = v[0]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(400, None), (450, [1.0, None]), (500, [float("nan")] * 10), (550, []), (None, [1.0] * 10)]
+    got = collections.defaultdict(list)
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    x = np.floor(256 * v).astype(int)
+    for q in range(0, 300, 50):
+        want = sorted((-int(x[q] @ x[i]), i) for i in range(300) if i != q)[:5]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+    assert set(got) == set(range(0, 300, 50))
+    assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_mixing_meets_targets(spark, odd):
+    assert mixing.fill([10, 100, 100], [5, 2, 1], 315, 2) == [20, 196.66666666666666, 98.33333333333333]
+    rng = random.Random(7)
+    df = docs(spark, [" ".join(["w"] * rng.randrange(1, 60)) for _ in range(400)], ["a", "b", None, "c", "a"])
+    rows = mixing.planned(df).collect()
+    assert rows[0].asDict()["size"] is not None and len(rows) == 400
+    for source in {r.source for r in rows}:
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 1 and all(0 <= r.taken <= 2 * r["size"] for r in own)
+        assert sum(r["size"] for r in own) == own[0].source_size
+    assert abs(sum({r.source: r.target for r in rows}.values()) - 1.5 * sum(r["size"] for r in rows)) < 1e-6
+    assert sorted(map(str, rows)) == sorted(map(str, mixing.planned(df.repartition(7)).collect()))
+    out = mixing.mixed(df)
+    assert out.columns == df.columns and out.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == sum(r.taken for r in rows)
+    assert mixing.planned(odd).count() == len(TEXTS) + 2 and mixing.planned(odd.limit(0)).count() == 0
+
+
+def test_lm_equals_counts(spark, odd):
+    rows = lm.lm_scores(odd).collect()
+    train = collections.Counter()
+    for r in rows:
+        if not r.held_out:
+            train.update(lm.words_of(TEXTS[r.doc_id if r.doc_id is not None else 3] or "") + [b""])
+    n, v = sum(train.values()), len(train)
+    for r in rows:
+        tokens = lm.words_of(TEXTS[r.doc_id if r.doc_id is not None else 3] or "") + [b""]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(train[t] > 0 for t in tokens), n)
+        assert r.base_score == pytest.approx(sum(math.log10((train[t] + 0.1) / (n + 0.1 * (v + 1))) for t in tokens))
+        assert r.score < 0
+    assert lm.lm_scores(odd.limit(0)).count() == 0
+
+
+def test_license_scan(spark, odd):
+    index = licenses.build()
+    mit = licenses.TEMPLATES["mit"][0]
+    got = licenses.scan("x y z " + mit.upper() + " tail", index)
+    assert got.labels == ["mit"] and got.score > 0.9 and got.matches[0][1] in range(3, 10)
+    assert licenses.scan(mit.replace("hereby granted", "not granted"), index).labels == []
+    both = licenses.scan("CC-BY text under cc by and the General Public License; CC  BY", index)
+    assert (both.n_base, both.first_word, both.last_word, both.base_labels) == (4, 0, 11, ["cc-by", "gpl"])
+    assert licenses.scan(None, index) == licenses.scan("", index) and licenses.scan("", index).score == 0
+    assert licenses.license_scan(odd).count() == len(TEXTS) + 2
+
+
+def test_jaccard_join_equals_brute_force(spark, odd):
+    rng = random.Random(8)
+    base = [[f"t{rng.randrange(4000)}" for _ in range(rng.randrange(20, 120))] for _ in range(25)]
+    texts = []
+    for words in base:
+        for _ in range(8):
+            copy = list(words)
+            for _ in range(rng.randrange(0, 3)):
+                copy[rng.randrange(len(copy))] = "changed"
+            texts.append(" ".join(copy))
+    texts += ["", "a b", "A  b", "a b c d e", None]
+    sets = [frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if (w := (t or "").lower().split()) else frozenset() for t in texts]
+    least = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(texts)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if sets[i] and sets[j] and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and least[i] != least[j]:
+                    least[i] = least[j] = min(least[i], least[j])
+                    changed = True
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked(docs(spark, texts)).collect()}
+    assert got == {i: (len(s), least[i]) for i, s in enumerate(sets)}
+    assert jaccard.linked(odd).count() == len(TEXTS) + 2 and jaccard.one_of_each(odd).columns
+    assert jaccard.linked(odd.limit(0)).count() == 0
+
+
+def test_line_dedup(spark, odd):
+    rng = random.Random(9)
+    lines_ = [" ".join(f"word{rng.randrange(9999)}" for _ in range(60)) for _ in range(30)]
+    near = [x.replace(x.split()[7], "other") for x in lines_[:10]]
+    texts = ["\n".join(lines_[i * 3 : i * 3 + 3]) for i in range(10)] + ["\n".join([*near, "own closing line"])]
+    df = docs(spark, texts)
+    rows = lines.line_classes(df).collect()
+    gone = [(r.doc_id, r.line_no) for r in rows if not r.keep]
+    assert sorted(gone) == [(10, i) for i in range(10)]
+    assert all((r.kept_doc_id, r.kept_line_no) == (r.line_no // 3, r.line_no % 3) for r in rows if not r.keep)
+    kept = {r.doc_id: r.text for r in lines.without_repeats(df).collect()}
+    assert kept[10] == "own closing line" and kept[0] == texts[0] and len(kept) == 11
+    out = lines.without_repeats(odd)
+    assert out.columns == odd.columns and {r.doc_id for r in out.filter("text is null or text = ''").collect()} == {0, 1}
+    assert lines.without_repeats(odd.limit(0)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(10)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(70)] + [(5, 5)]
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in range(100):
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {k: v for k, v in got.items() if k in root} == root
