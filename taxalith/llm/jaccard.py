@@ -181,7 +181,7 @@ def survivors(packed: DataFrame) -> DataFrame:
     return with_totals(packed).mapInArrow(rows, "node long")
 
 
-INDEX = "element long, node long, n long, l int"
+INDEX = "element long, node long, n long, m long, l int"
 
 
 def adaptive(n: int, totals: np.ndarray, percent: int) -> tuple[int, int]:
@@ -196,7 +196,11 @@ def adaptive(n: int, totals: np.ndarray, percent: int) -> tuple[int, int]:
 
 
 def index(packed: DataFrame, percent: int) -> DataFrame:
-    """Postings of every set's adaptive prefix, without elements that no other set holds."""
+    """Postings of every set's adaptive prefix, without elements that no other set holds.
+
+    m: how many of the set's elements another set holds. The overlap with any set is m at most, so sets with less than they
+    need drop out, and pairs are bounded by both m.
+    """
 
     def rows(batches):
         schema = arrow_schema(INDEX)
@@ -205,11 +209,14 @@ def index(packed: DataFrame, percent: int) -> DataFrame:
             for i, (node, n) in enumerate(zip(nodes, ns)):
                 own, t = elements[starts[i] : starts[i + 1]], totals[starts[i] : starts[i + 1]].astype(np.int64)
                 order = np.lexsort((own, t))
+                m = int(np.count_nonzero(t > 1))
+                if m < needed(n, percent):
+                    continue
                 match, length = adaptive(n, t[order], percent)
                 at = order[:length]
                 at = at[t[at] > 1]
-                out.append((own[at].view(np.int64), np.full(len(at), node), np.full(len(at), n), np.full(len(at), match)))
-            yield pa.RecordBatch.from_pydict({name: np.concatenate([r[j] for r in out]) for j, name in enumerate(schema.names)}, schema=schema)
+                out.append((own[at].view(np.int64), np.full(len(at), node), np.full(len(at), n), np.full(len(at), m), np.full(len(at), match)))
+            yield pa.RecordBatch.from_pydict({name: np.concatenate([r[j] for r in out]) if out else [] for j, name in enumerate(schema.names)}, schema=schema)
 
     return with_totals(packed).mapInArrow(rows, INDEX)
 
@@ -231,27 +238,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(rows, "a long, b long")
 
 
-def _similar_sizes(a: str, b: str, percent: int):
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _similar_sizes(n: str, m: str, other_n: str, other_m: str, percent: int):
+    """Whether the sizes, and the most that the two sets can share, allow the similarity."""
+    a, b = F.col(n), F.col(other_n)
+    return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (F.least(m, other_m) * (100 + percent) >= (a + b) * percent)
 
 
 def stars(postings: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Candidates (a, b) of each element's postings with the element's leader."""
-    leader = postings.groupBy("element").agg(F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("l").alias("a_l"))).alias("x"))
-    met = postings.join(leader.select("element", "x.a", "x.a_n", "x.a_l"), "element").filter((F.col("a") != F.col("node")) & _similar_sizes("n", "a_n", percent))
+    """Candidates (a, b) of each element's postings with the element's leader.
+
+    For seed 0 that is the set with the smallest share of elements of its own, to which most of a group of copies links.
+    """
+    own = (F.col("n") - F.col("m")) / F.col("n") if seed == 0 else F.lit(0.0)
+    leader = postings.groupBy("element").agg(F.min(F.struct(own.alias("o"), F.xxhash64("node", F.lit(seed)).alias("h"), F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("m").alias("a_m"), F.col("l").alias("a_l"))).alias("x"))
+    met = postings.join(leader.select("element", "x.a", "x.a_n", "x.a_m", "x.a_l"), "element").filter((F.col("a") != F.col("node")) & _similar_sizes("n", "m", "a_n", "a_m", percent))
     return met.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("l", "a_l")).alias("l")).filter("shared >= l").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def across(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidates of different components: only elements that several components hold, component by component."""
+    """Candidates of different components, from elements that several components hold."""
     own = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     many = own.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("element")
     own = own.join(many, "element", "left_semi")
-    groups = own.select("element", "root").distinct()
-    met = groups.join(groups.withColumnRenamed("root", "other"), "element").filter("root < other")
-    met = met.join(own, ["element", "root"])
-    right = own.select("element", F.col("root").alias("other"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("l").alias("b_l"))
-    met = met.join(right, ["element", "other"]).filter(_similar_sizes("n", "b_n", percent))
+    right = own.select("element", F.col("root").alias("other"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("m").alias("b_m"), F.col("l").alias("b_l"))
+    met = own.join(right, "element").filter((F.col("root") < F.col("other")) & _similar_sizes("n", "m", "b_n", "b_m", percent))
     return met.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "b_l")).alias("l")).filter("shared >= l").select("a", "b")
 
 
