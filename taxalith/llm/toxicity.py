@@ -176,7 +176,7 @@ class Scorer:
         return out
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 3000) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 1800) -> Model:
     """Learns from at most max_rows labelled rows of each class outside fold 1 of 3; labels repeated or null are skipped."""
     named = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     named = named.filter(crc_mod(F.col("doc_id"), 3) != 1).withColumn("place", F.xxhash64("doc_id", F.lit(SEED)))
