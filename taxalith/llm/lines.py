@@ -6,8 +6,9 @@ are 64-bit hashes. The signature is one-permutation MinHash: the hash space is c
 least hashes of one bin, so bands agree with probability J**ROWS; lines of few shingles have two wide bins besides. Bands
 of fewer than two hashes are left out unless the line has no other.
 
-Equal lines are one class. Candidates are pairs of classes that share a band: first each band's lines with two leaders, then
-all pairs whose components still differ, so large groups cost no pairs of their members and no candidate is dropped. A
+Equal lines are one class. Candidates are pairs of classes that share a band: first each band's lines with two leaders, one
+of them chosen anew in every band, then all pairs whose components still differ, so large groups cost no pairs of their
+members. Candidates are bounded by sizes and parities before they leave a join: a pair goes only if it can't be similar enough. A
 candidate is a link if the sets' Jaccard similarity is ``PERCENT`` or more. One line of each component stays: the one of
 the smallest (doc_id, line number). Blank lines are neither compared nor dropped; null and empty texts have one blank line.
 Rows of the same id and text are one document. Very long lines are compared whole.
@@ -23,28 +24,63 @@ from pyspark.sql import functions as F
 from taxalith.llm.common import staged, table, text_of
 from taxalith.llm.graph import components
 
-WIDTH, BINS, ROWS, FEW, PERCENT, HELD = 12, 3, 3, 24, 80, 500_000
+WIDTH, BINS, ROWS, FEW, WORDS, PERCENT, HELD = 12, 3, 3, 24, 4, 80, 500_000
 AT_WORDS, ANYWHERE = rf"(?s)(?<!\S)(?=(\S.{{0,{WIDTH - 1}}}))", rf"(?s)(?=(.{{{WIDTH}}}))"
 
 
-def shingles(line: Column) -> Column:
-    """Sorted distinct shingle hashes of a line; a line too short for any is one shingle."""
-    words = F.regexp_extract_all(line, F.lit(AT_WORDS), 1)
+def at_words(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(AT_WORDS), 1)
+
+
+def shingles(line: str, words: str) -> Column:
+    """Distinct shingle hashes of a line, all odd, from its shingles at words; a line too short for any is one shingle."""
     dense = F.size(words) * WIDTH >= F.length(line)
-    found = F.when(dense, words).otherwise(F.regexp_extract_all(line, F.lit(ANYWHERE), 1))
-    return F.array_sort(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
+    found = F.when(dense, F.col(words)).otherwise(F.regexp_extract_all(line, F.lit(ANYWHERE), 1))
+    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s).bitwiseOR(F.lit(1))))
+
+
+#: Where the bins start, in the order of signed numbers. Hashes are odd and so never equal a start.
+STARTS = [(i - (1 << BINS - 1)) << 64 - BINS for i in range(1 << BINS)]
+
+
+def marked(s: Column) -> Column:
+    """Shingle hashes in order, with the start of every bin among them."""
+    return F.sort_array(F.concat(s, F.array(*[F.lit(x).cast("long") for x in STARTS])))
+
+
+def bands(m: Column) -> Column:
+    """Band keys of a marked shingle set; bins are found by their starts, so no lambda runs over the shingles."""
+    at = [F.array_position(m, F.lit(x).cast("long")).cast("int") for x in STARTS] + [F.size(m) + 1]
+    n = F.size(m) - len(STARTS)
+
+    def band(bins: int, i: int, least: Column) -> Column:
+        return F.when((F.size(least) > 1) | (n < 4), F.xxhash64(F.lit(bins), F.lit(i), least))
+
+    fine = [band(BINS, i, F.slice(m, at[i] + 1, F.least(F.lit(ROWS), at[i + 1] - at[i] - 1))) for i in range(len(STARTS))]
+    half = [F.filter(F.slice(m, at[i * len(STARTS) // 2], F.lit(len(STARTS) + FEW)), lambda x: (x.bitwiseAND(1) == 1) & ((x < 0) == F.lit(i == 0))) for i in range(2)]
+    wide = F.when(n <= FEW, F.array(*[band(1, i, F.slice(half[i], 1, ROWS)) for i in range(2)])).otherwise(F.array().cast("array<bigint>"))
+    return F.array_distinct(F.array_compact(F.concat(F.array(*fine), wide)))
+
+
+def parity(s: Column) -> Column:
+    """64 bits; each tells whether an odd number of shingles fall on it.
+
+    Each shingle that only one of two sets holds flips one bit, so the sets differ in no fewer shingles than bits.
+    """
+    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 1).bitwiseAND(63).cast("int"))
+    return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(one(x)))
+
+
+PARITIES = [f"p{i}" for i in range(WORDS)]
 
 
-def bands(s: Column) -> Column:
-    """Band keys of a sorted shingle set."""
+def parities(s: Column) -> list[Column]:
+    """The parities of WORDS parts of a set, which together are a finer bound."""
 
-    def band(bits: int, i: int) -> Column:
-        least = F.slice(F.filter(s, lambda x: F.shiftrightunsigned(x, 64 - bits) == i), 1, ROWS)
-        return F.when((F.size(least) > 1) | (F.size(s) < 4), F.xxhash64(F.lit(bits), F.lit(i), least))
+    def part(i: int) -> Column:
+        return F.filter(s, lambda x: F.shiftright(x, 7).bitwiseAND(WORDS - 1) == i)
 
-    fine = F.array(*[band(BINS, i) for i in range(1 << BINS)])
-    wide = F.when(F.size(s) <= FEW, F.array(*[band(1, i) for i in range(2)])).otherwise(F.array().cast("array<bigint>"))
-    return F.array_distinct(F.array_compact(F.concat(fine, wide)))
+    return [parity(part(i)).alias(c) for i, c in enumerate(PARITIES)]
 
 
 def split_lines(documents: DataFrame) -> DataFrame:
@@ -56,13 +92,19 @@ def split_lines(documents: DataFrame) -> DataFrame:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """Each line with n (shingles) and its band keys."""
-    signed = lines.select("doc", "doc_id", "line_no", F.length("line").cast("long").alias("n_chars"), "h", shingles(F.col("line")).alias("s"))
-    return signed.select("doc", "doc_id", "line_no", "n_chars", "h", F.size("s").alias("n"), bands(F.col("s")).alias("keys"))
+    """Each line with n (shingles), its parity and its band keys."""
+    own = ("doc", "doc_id", "line_no", "n_chars", "h")
+    signed = lines.select(*own[:3], F.length("line").cast("long").alias("n_chars"), "h", "line", at_words(F.col("line")).alias("words"))
+    signed = signed.select(*own, shingles("line", "words").alias("s"))
+    signed = signed.select(*own, F.size("s").alias("n"), parity(F.col("s")).alias("p"), marked(F.col("s")).alias("m"))
+    return signed.select(*own, "n", "p", bands(F.col("m")).alias("keys"))
 
 
-def _similar_sizes(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _may_link(n: str, p: list[str], other: list[str], percent: int) -> Column:
+    """Whether sizes and parities allow the similarity; n and other: the other set's columns. Never false for similar sets."""
+    a, b = F.col("n"), F.col(n)
+    flipped = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(p, other)), F.lit(0))
+    return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (flipped * (100 + percent) <= (a + b) * (100 - percent))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -71,32 +113,34 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent).select("a", "b")
 
 
-def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """h and shingle set of the wanted classes (h, doc, line_no), read again from their first lines."""
-    small = F.broadcast(wanted) if wanted.count() <= HELD else wanted
+def shingle_sets(documents: DataFrame, ends: DataFrame, classes: DataFrame) -> DataFrame:
+    """h and shingle set of the classes in ends, read again from their first lines."""
+    wanted = staged(ends.join(classes, "h").select("h", "first.doc", "first.line_no"))
+    hold = F.broadcast if wanted.count() <= HELD else lambda x: x
     text = text_of(documents)
-    found = documents.select(F.xxhash64("doc_id", text).alias("doc"), text.alias("text")).join(small, "doc")
-    line = F.lower(F.trim(F.element_at(F.split("text", "\n", -1), F.col("line_no") + 1)))
-    return found.select("h", shingles(line).alias("s")).dropDuplicates(["h"])
+    found = documents.select(F.xxhash64("doc_id", text).alias("doc"), text.alias("text")).join(hold(wanted.select("doc").distinct()), "doc", "left_semi")
+    found = found.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw")).join(hold(wanted), ["doc", "line_no"])
+    found = found.select("h", F.lower(F.trim("raw")).alias("line")).withColumn("words", at_words(F.col("line")))
+    return found.select("h", shingles("line", "words").alias("s")).dropDuplicates(["h"])
 
 
 def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc, doc_id, line_no, n_chars, kept_doc_id, kept_line_no, keep of every line that isn't blank."""
     lines = staged(signatures(split_lines(documents)))
     first = F.min(F.struct("doc_id", "line_no", "doc")).alias("first")
-    classes = staged(lines.groupBy("h").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")))
-    postings = classes.select("h", "n", F.explode("keys").alias("key"))
+    classes = staged(lines.groupBy("h").agg(first, *(F.first(c).alias(c) for c in ("n", "p", "keys"))))
+    postings = classes.select("h", "n", "p", F.explode("keys").alias("key"))
     bucket = Window.partitionBy("key")
-    for i in range(2):
-        postings = postings.withColumn(f"lead{i}", F.min(F.struct(F.xxhash64("h", F.lit(i)).alias("r"), "h", "n")).over(bucket))
-    postings = staged(postings.withColumn("many", F.count("*").over(bucket)).filter("many > 1").select("key", "h", "n", *(F.col(f"lead{i}.{c}").alias(f"{c}{i}") for i in range(2) for c in ("h", "n"))))
-    pairs = [postings.filter((F.col("h") != F.col(f"h{i}")) & _similar_sizes("n", f"n{i}", percent)).select(F.least("h", f"h{i}").alias("a"), F.greatest("h", f"h{i}").alias("b")) for i in range(2)]
+    for i, rank in enumerate((F.lit(0), F.col("key"))):
+        postings = postings.withColumn(f"lead{i}", F.min(F.struct(F.xxhash64("h", rank).alias("r"), "h", "n", "p")).over(bucket))
+    near = [F.when((F.col("h") != F.col(f"lead{i}.h")) & _may_link(f"lead{i}.n", ["p"], [f"lead{i}.p"], percent), F.col(f"lead{i}.h")).alias(f"h{i}") for i in range(2)]
+    postings = staged(postings.withColumn("many", F.count("*").over(bucket)).filter("many > 1").select("key", "h", "n", *near))
+    pairs = [postings.filter(F.col(f"h{i}").isNotNull()).select(F.least("h", f"h{i}").alias("a"), F.greatest("h", f"h{i}").alias("b")) for i in range(2)]
     pairs = staged(reduce(DataFrame.unionByName, pairs).distinct())
-    wanted = postings.select("h").distinct().join(classes, "h").select("h", "first.doc", "first.line_no")
-    sets = staged(shingle_sets(documents, staged(wanted)))
-    links = staged(verified(pairs, sets, percent))
-    more = verified(across(postings, components(links), percent), sets, percent)
-    roots = staged(components(links.unionByName(more)))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    links = staged(verified(pairs, staged(shingle_sets(documents, ends, classes)), percent))
+    links = links.unionByName(across(postings, components(links), documents, classes, percent))
+    roots = staged(components(links))
     linked = classes.join(roots, classes["h"] == roots["node"]).select("h", "first", "root")
     kept = linked.join(linked.groupBy("root").agg(F.min("first").alias("kept")), "root").select("h", "kept")
     named = classes.select("h", "first").join(kept, "h", "left").select("h", F.coalesce("kept", "first").alias("kept"))
@@ -105,16 +149,19 @@ def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc", "doc_id", "line_no", "n_chars", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line_no").alias("kept_line_no"), keep.alias("keep"))
 
 
-def across(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidates whose components differ, from bands that hold several components."""
+def across(postings: DataFrame, roots: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links between components, from bands that hold several components."""
     own = postings.select("key", "h", "n").join(roots, F.col("h") == F.col("node"), "left").select("key", "h", "n", F.coalesce("root", "h").alias("root"))
+    own = staged(own)
     many = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    own = own.join(many, "key", "left_semi")
-    groups = own.select("key", "root").distinct()
-    met = groups.join(groups.withColumnRenamed("root", "other"), "key").filter("root < other").join(own, ["key", "root"])
-    right = own.select("key", F.col("root").alias("other"), F.col("h").alias("b"), F.col("n").alias("b_n"))
-    met = met.join(right, ["key", "other"]).filter(_similar_sizes("n", "b_n", percent))
-    return met.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct()
+    own = staged(own.join(many, "key", "left_semi"))
+    sets = staged(shingle_sets(documents, own.select("h").distinct(), classes).select("h", "s", *parities(F.col("s"))))
+    own = own.join(sets.select("h", *PARITIES), "h")
+    theirs = [f"b_{c}" for c in PARITIES]
+    right = own.select("key", F.col("root").alias("other"), F.col("h").alias("b"), F.col("n").alias("b_n"), *(F.col(c).alias(t) for c, t in zip(PARITIES, theirs)))
+    met = own.join(right, "key").filter((F.col("root") < F.col("other")) & _may_link("b_n", PARITIES, theirs, percent))
+    met = staged(met.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct())
+    return staged(verified(met, sets, percent))
 
 
 def without_repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
