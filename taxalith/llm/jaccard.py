@@ -12,7 +12,8 @@ order of elements their prefixes of n - ceil(t n) + l elements share l or more.
 Candidates are verified exactly, then linked and joined into components by distributed union-find. So that a large group of
 copies costs no pairs of its members, candidates first come from stars: each element's postings meet one leader, chosen
 anew in every of ``STARS`` rounds. Then all candidate pairs whose components still differ are verified, so no link that could
-change a component is lost. No element, group or list of candidates is capped.
+change a component is lost. The join of those bounds pairs by parities too: bits that tell on which places an odd number of a
+set's elements fall, of which two sets differ in no more than in elements. No element, group or list of candidates is capped.
 
 Null texts, empty ones and rows without an id: no shingles or links; their component is their own id. Fewer than five words
 are one shingle. Repeated rows are in one class. Words are split at ASCII white space after lower-casing A-Z.
@@ -70,7 +71,10 @@ def needed(n, percent: int = PERCENT):
 
 
 SETS = "doc_id long, n long, node long, prefix binary, l int"
-FULL = "node long, n long, elements binary"
+#: Words of 64 bits, each bit the parity of how many elements fall on it.
+WORDS = 4
+PARITIES = [f"p{i}" for i in range(WORDS)]
+FULL = f"node long, n long, elements binary, {', '.join(f'{p} long' for p in PARITIES)}"
 
 
 def screened_prefix(elements: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -104,13 +108,22 @@ def shingle_sets(documents: DataFrame, width: int = WIDTH, percent: int = PERCEN
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(documents).alias("text")).mapInArrow(rows, SETS)
 
 
+def parities(elements: np.ndarray) -> list[int]:
+    """The WORDS numbers whose bits tell on which places an odd number of elements fall.
+
+    Each element that only one of two sets holds flips one bit, so the sets differ in no fewer elements than bits.
+    """
+    odd = np.bincount((elements & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def full_sets(documents: DataFrame, width: int) -> DataFrame:
     def rows(batches):
         shingles = Shingler(width)
         schema = arrow_schema(FULL)
         for ids, texts in columns(batches, "doc_id", "text"):
             got = [shingles(t) for t in texts]
-            values = ([class_of(g) for g in got], [len(g) for g in got], [planes(g) for g in got])
+            values = ([class_of(g) for g in got], [len(g) for g in got], [planes(g) for g in got], *zip(*map(parities, got)))
             yield pa.RecordBatch.from_pydict(dict(zip(schema.names, values)), schema=schema)
 
     return documents.select("doc_id", text_of(documents).alias("text")).mapInArrow(rows, FULL)
@@ -244,6 +257,12 @@ def _similar_sizes(n: str, m: str, other_n: str, other_m: str, percent: int):
     return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (F.least(m, other_m) * (100 + percent) >= (a + b) * percent)
 
 
+def _differ_little(n: str, p: list[str], other_n: str, other_p: list[str], percent: int):
+    """Whether the parities allow the similarity; never false for sets that are similar enough."""
+    flipped = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(p, other_p)), F.lit(0))
+    return flipped * (100 + percent) <= (F.col(n) + F.col(other_n)) * (100 - percent)
+
+
 def stars(postings: DataFrame, seed: int, percent: int) -> DataFrame:
     """Candidates (a, b) of each element's postings with the element's leader.
 
@@ -255,13 +274,19 @@ def stars(postings: DataFrame, seed: int, percent: int) -> DataFrame:
     return met.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("l", "a_l")).alias("l")).filter("shared >= l").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def across(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Candidates of different components, from elements that several components hold."""
-    own = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+def across(postings: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates of different components, from elements that several components hold.
+
+    The join bounds each pair by sizes, shared elements and parities, so pairs that can't link leave it in no row.
+    """
+    named = sets.select("node", *PARITIES).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = staged(postings.join(named, "node"))
     many = own.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("element")
     own = own.join(many, "element", "left_semi")
-    right = own.select("element", F.col("root").alias("other"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("m").alias("b_m"), F.col("l").alias("b_l"))
-    met = own.join(right, "element").filter((F.col("root") < F.col("other")) & _similar_sizes("n", "m", "b_n", "b_m", percent))
+    theirs = [f"b_{p}" for p in PARITIES]
+    right = own.select("element", F.col("root").alias("other"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("m").alias("b_m"), F.col("l").alias("b_l"), *(F.col(p).alias(t) for p, t in zip(PARITIES, theirs)))
+    may = _similar_sizes("n", "m", "b_n", "b_m", percent) & _differ_little("n", PARITIES, "b_n", theirs, percent)
+    met = own.join(right, "element").filter((F.col("root") < F.col("other")) & may)
     return met.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "b_l")).alias("l")).filter("shared >= l").select("a", "b")
 
 
@@ -280,7 +305,7 @@ def linked(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     pairs = reduce(DataFrame.unionByName, [stars(postings, seed, percent) for seed in range(STARS)]).distinct()
     links = staged(verified(pairs, sets, percent))
     roots = staged(components(links))
-    more = verified(across(postings, roots, percent), sets, percent)
+    more = staged(verified(across(postings, roots, sets, percent), sets, percent))
     links = links.unionByName(more)
     roots = components(links)
     return _with_components(own, classes, staged(roots))
