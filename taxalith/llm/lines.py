@@ -25,7 +25,7 @@ from taxalith.llm.common import staged, table, text_of
 from taxalith.llm.graph import components
 
 WIDTH, BINS, ROWS, FEW, WORDS, PERCENT, HELD = 12, 3, 3, 24, 4, 80, 500_000
-AT_WORDS, ANYWHERE = rf"(?s)(?<!\S)(?=(\S.{{0,{WIDTH - 1}}}))", rf"(?s)(?=(.{{{WIDTH}}}))"
+AT_WORDS, ANYWHERE = rf"(?s)(?=(\S.{{0,{WIDTH - 1}}}))\S++", rf"(?s)(?=(.{{{WIDTH}}}))"
 
 
 def at_words(line: Column) -> Column:
@@ -33,33 +33,36 @@ def at_words(line: Column) -> Column:
 
 
 def shingles(line: str, words: str) -> Column:
-    """Distinct shingle hashes of a line, all odd, from its shingles at words; a line too short for any is one shingle."""
+    """Distinct shingle hashes of a line from its shingles at words; a line too short for any is one shingle."""
     dense = F.size(words) * WIDTH >= F.length(line)
     found = F.when(dense, F.col(words)).otherwise(F.regexp_extract_all(line, F.lit(ANYWHERE), 1))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s).bitwiseOR(F.lit(1))))
+    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
 
 
-#: Where the bins start, in the order of signed numbers. Hashes are odd and so never equal a start.
-STARTS = [(i - (1 << BINS - 1)) << 64 - BINS for i in range(1 << BINS)]
+def bin_of(x: Column) -> Column:
+    """The bin of a hash, from -(1 << BINS - 1)."""
+    return F.shiftright(x, 64 - BINS)
 
 
-def marked(s: Column) -> Column:
-    """Shingle hashes in order, with the start of every bin among them."""
-    return F.sort_array(F.concat(s, F.array(*[F.lit(x).cast("long") for x in STARTS])))
+def least(m: Column) -> Column:
+    """Of sorted hashes, the ROWS least ones of every bin."""
+    return F.filter(m, lambda x, i: (i < ROWS) | (bin_of(x) != bin_of(F.get(m, i - ROWS))))
 
 
-def bands(m: Column) -> Column:
-    """Band keys of a marked shingle set; bins are found by their starts, so no lambda runs over the shingles."""
-    at = [F.array_position(m, F.lit(x).cast("long")).cast("int") for x in STARTS] + [F.size(m) + 1]
-    n = F.size(m) - len(STARTS)
+def bands(t: Column, n: Column) -> Column:
+    """Band keys of a set of n shingles, from the least ones of every bin in order."""
 
-    def band(bins: int, i: int, least: Column) -> Column:
-        return F.when((F.size(least) > 1) | (n < 4), F.xxhash64(F.lit(bins), F.lit(i), least))
+    def key(bins: int, i: Column, held: Column) -> Column:
+        return F.when((F.size(held) > 1) | ((n < 4) & (F.size(held) > 0)), F.xxhash64(F.lit(bins), i, held))
 
-    fine = [band(BINS, i, F.slice(m, at[i] + 1, F.least(F.lit(ROWS), at[i + 1] - at[i] - 1))) for i in range(len(STARTS))]
-    half = [F.filter(F.slice(m, at[i * len(STARTS) // 2], F.lit(len(STARTS) + FEW)), lambda x: (x.bitwiseAND(1) == 1) & ((x < 0) == F.lit(i == 0))) for i in range(2)]
-    wide = F.when(n <= FEW, F.array(*[band(1, i, F.slice(half[i], 1, ROWS)) for i in range(2)])).otherwise(F.array().cast("array<bigint>"))
-    return F.array_distinct(F.array_compact(F.concat(F.array(*fine), wide)))
+    def opened(x: Column, i: Column) -> Column:
+        starts = (i == 0) | (bin_of(x) != bin_of(F.get(t, i - 1)))
+        return F.when(starts, key(BINS, bin_of(x), F.filter(F.slice(t, i + 1, ROWS), lambda y: bin_of(y) == bin_of(x))))
+
+    fine = F.transform(t, opened)
+    below = [F.filter(t, lambda x: x < 0), F.filter(t, lambda x: x >= 0)]
+    wide = F.array(*[key(1, F.lit(i), F.slice(held, 1, ROWS)) for i, held in enumerate(below)])
+    return F.array_distinct(F.array_compact(F.when(n <= FEW, F.concat(fine, wide)).otherwise(fine)))
 
 
 def parity(s: Column) -> Column:
@@ -96,8 +99,9 @@ def signatures(lines: DataFrame) -> DataFrame:
     own = ("doc", "doc_id", "line_no", "n_chars", "h")
     signed = lines.select(*own[:3], F.length("line").cast("long").alias("n_chars"), "h", "line", at_words(F.col("line")).alias("words"))
     signed = signed.select(*own, shingles("line", "words").alias("s"))
-    signed = signed.select(*own, F.size("s").alias("n"), parity(F.col("s")).alias("p"), marked(F.col("s")).alias("m"))
-    return signed.select(*own, "n", "p", bands(F.col("m")).alias("keys"))
+    signed = signed.select(*own, F.size("s").alias("n"), parity(F.col("s")).alias("p"), F.sort_array("s").alias("m"))
+    signed = signed.select(*own, "n", "p", least(F.col("m")).alias("t"))
+    return signed.select(*own, "n", "p", bands(F.col("t"), F.col("n")).alias("keys"))
 
 
 def _may_link(n: str, p: list[str], other: list[str], percent: int) -> Column:
