@@ -143,7 +143,7 @@ def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = staged(reduce(DataFrame.unionByName, pairs).distinct())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     links = staged(verified(pairs, staged(shingle_sets(documents, ends, classes)), percent))
-    links = links.unionByName(across(postings, components(links), documents, classes, percent))
+    links = across(postings, links, documents, classes, percent)
     roots = staged(components(links))
     linked = classes.join(roots, classes["h"] == roots["node"]).select("h", "first", "root")
     kept = linked.join(linked.groupBy("root").agg(F.min("first").alias("kept")), "root").select("h", "kept")
@@ -153,19 +153,33 @@ def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("doc", "doc_id", "line_no", "n_chars", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line_no").alias("kept_line_no"), keep.alias("keep"))
 
 
-def across(postings: DataFrame, roots: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Links between components, from bands that hold several components."""
-    own = postings.select("key", "h", "n").join(roots, F.col("h") == F.col("node"), "left").select("key", "h", "n", F.coalesce("root", "h").alias("root"))
-    own = staged(own)
+def rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """postings with the root of each class's component, of the bands that hold several components."""
+    own = staged(postings.join(roots, F.col("h") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h")).drop("node"))
     many = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    own = staged(own.join(many, "key", "left_semi"))
+    return staged(own.join(many, "key", "left_semi"))
+
+
+def across(postings: DataFrame, links: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """links with those between components, from bands that hold several components.
+
+    First each such band's lines meet one leader again, which joins most of a group of near copies; then all pairs whose
+    components still differ are compared.
+    """
+    own = rooted(postings.select("key", "h", "n"), components(links))
     sets = staged(shingle_sets(documents, own.select("h").distinct(), classes).select("h", "s", *parities(F.col("s"))))
     own = own.join(sets.select("h", *PARITIES), "h")
     theirs = [f"b_{c}" for c in PARITIES]
-    right = own.select("key", F.col("root").alias("other"), F.col("h").alias("b"), F.col("n").alias("b_n"), *(F.col(c).alias(t) for c, t in zip(PARITIES, theirs)))
-    met = own.join(right, "key").filter((F.col("root") < F.col("other")) & _may_link("b_n", PARITIES, theirs, percent))
-    met = staged(met.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct())
-    return staged(verified(met, sets, percent))
+    other = [F.col("root").alias("other"), F.col("h").alias("b"), F.col("n").alias("b_n"), *(F.col(c).alias(t) for c, t in zip(PARITIES, theirs))]
+
+    def met(right: DataFrame, apart: Column) -> DataFrame:
+        pairs = own.join(right, "key").filter(apart & _may_link("b_n", PARITIES, theirs, percent))
+        return staged(pairs.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct())
+
+    leader = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("h", "key", F.lit(1)).alias("r"), "root", "h", "n", *PARITIES)).alias("x")).select("key", "x.*")
+    links = links.unionByName(staged(verified(met(leader.select("key", *other), F.col("root") != F.col("other")), sets, percent)))
+    own = rooted(own.drop("root"), components(links))
+    return links.unionByName(staged(verified(met(own.select("key", *other), F.col("root") < F.col("other")), sets, percent)))
 
 
 def without_repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
