@@ -50,5 +50,16 @@ def queries():
     return {f.__name__: f for f in (op1_lines, op2_toxicity, op3_matroska, op4_packing, op5_topk, op6_mixing, op7_lm, op8_licenses, op9_jaccard, op10_quality)}
 
 
+TOPK_SQL = """WITH v AS (
+  SELECT vec_id, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5"""
+
+
 def oracle_sql():
-    return {}
+    return {"op5_topk": TOPK_SQL}
