@@ -1,8 +1,8 @@
 """Line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, distributed union-find.
 
-All of it is DataFrame functions. A line, lower-cased and trimmed, is the set of its shingles of ``WIDTH`` characters that
-start at a word; where words are longer than ``WIDTH`` characters on average, of those that start at any character. Shingles
-are 64-bit hashes. The signature is one-permutation MinHash: the hash space is cut into bins and a band is the up to ``ROWS``
+All of it is DataFrame functions. A line, lower-cased and trimmed, is the set of its shingles of ``WIDTH`` characters
+that start at every character, whatever its length and words; a shorter line is one shingle. Shingles are 64-bit hashes and
+are computed again from the lines where sets are compared, as they take eight times a line's room. The signature is one-permutation MinHash: the hash space is cut into bins and a band is the up to ``ROWS``
 least hashes of one bin, so bands agree with probability J**ROWS; lines of few shingles have two wide bins besides. Bands
 of fewer than two hashes are left out unless the line has no other.
 
@@ -25,18 +25,19 @@ from taxalith.llm.common import staged, table, text_of
 from taxalith.llm.graph import components
 
 WIDTH, BINS, ROWS, FEW, WORDS, PERCENT, HELD = 12, 3, 3, 24, 4, 80, 500_000
-AT_WORDS, ANYWHERE = rf"(?s)(?=(\S.{{0,{WIDTH - 1}}}))\S++", rf"(?s)(?=(.{{{WIDTH}}}))"
+#: The least hash of every bin.
+EDGES = [i << 64 - BINS for i in range(-(1 << BINS - 1), 1 << BINS - 1)]
 
 
-def at_words(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(AT_WORDS), 1)
+def shingles(line: Column) -> Column:
+    """Distinct hashes of a line's shingles at every character; a line too short for any is one shingle.
 
-
-def shingles(line: str, words: str) -> Column:
-    """Distinct shingle hashes of a line from its shingles at words; a line too short for any is one shingle."""
-    dense = F.size(words) * WIDTH >= F.length(line)
-    found = F.when(dense, F.col(words)).otherwise(F.regexp_extract_all(line, F.lit(ANYWHERE), 1))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+    Characters are four bytes each, so a shingle is cut out without counting from the line's start. The array of one holds
+    the coded line, which would be coded anew for every shingle otherwise.
+    """
+    starts = F.sequence(F.lit(1), F.greatest(F.length(line) - WIDTH, F.lit(0)) * 4 + 1, F.lit(4))
+    coded = F.array(F.encode(line, "UTF-32"))
+    return F.array_distinct(F.transform(coded, lambda c: F.transform(starts, lambda i: F.xxhash64(F.substring(c, i, F.lit(4 * WIDTH)))))[0])
 
 
 def bin_of(x: Column) -> Column:
@@ -45,8 +46,13 @@ def bin_of(x: Column) -> Column:
 
 
 def least(m: Column) -> Column:
-    """Of sorted hashes, the ROWS least ones of every bin."""
-    return F.filter(m, lambda x, i: (i < ROWS) | (bin_of(x) != bin_of(F.get(m, i - ROWS))))
+    """Of sorted hashes with all EDGES among them, the ROWS least ones behind the edge of every bin."""
+
+    def held(edge: int) -> Column:
+        behind = F.slice(m, F.array_position(m, F.lit(edge)).cast("int") + 1, ROWS)
+        return F.filter(behind, lambda x: bin_of(x) == edge >> 64 - BINS)
+
+    return F.flatten(F.array(*map(held, EDGES)))
 
 
 def bands(t: Column, n: Column) -> Column:
@@ -97,9 +103,8 @@ def split_lines(documents: DataFrame) -> DataFrame:
 def signatures(lines: DataFrame) -> DataFrame:
     """Each line with n (shingles), its parity and its band keys."""
     own = ("doc", "doc_id", "line_no", "n_chars", "h")
-    signed = lines.select(*own[:3], F.length("line").cast("long").alias("n_chars"), "h", "line", at_words(F.col("line")).alias("words"))
-    signed = signed.select(*own, shingles("line", "words").alias("s"))
-    signed = signed.select(*own, F.size("s").alias("n"), parity(F.col("s")).alias("p"), F.sort_array("s").alias("m"))
+    signed = lines.select(*own[:3], F.length("line").cast("long").alias("n_chars"), "h", shingles(F.col("line")).alias("s"))
+    signed = signed.select(*own, F.size("s").alias("n"), parity(F.col("s")).alias("p"), F.sort_array(F.concat("s", F.array(*map(F.lit, EDGES)))).alias("m"))
     signed = signed.select(*own, "n", "p", least(F.col("m")).alias("t"))
     return signed.select(*own, "n", "p", bands(F.col("t"), F.col("n")).alias("keys"))
 
@@ -111,21 +116,22 @@ def _may_link(n: str, p: list[str], other: list[str], percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (flipped * (100 + percent) <= (a + b) * (100 - percent))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("s").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent).select("a", "b")
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose lines' sets are similar enough; texts: h and line."""
+    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
+    sets = F.array(F.struct(shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y")))
+    similar = F.exists(sets, lambda s: F.size(F.array_intersect(s.x, s.y)) * (100 + percent) >= (F.size(s.x) + F.size(s.y)) * percent)
+    return both.filter(similar).select("a", "b")
 
 
-def shingle_sets(documents: DataFrame, ends: DataFrame, classes: DataFrame) -> DataFrame:
-    """h and shingle set of the classes in ends, read again from their first lines."""
+def class_lines(documents: DataFrame, ends: DataFrame, classes: DataFrame) -> DataFrame:
+    """h and line of the classes in ends, read again from their first lines."""
     wanted = staged(ends.join(classes, "h").select("h", "first.doc", "first.line_no"))
     hold = F.broadcast if wanted.count() <= HELD else lambda x: x
     text = text_of(documents)
     found = documents.select(F.xxhash64("doc_id", text).alias("doc"), text.alias("text")).join(hold(wanted.select("doc").distinct()), "doc", "left_semi")
     found = found.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw")).join(hold(wanted), ["doc", "line_no"])
-    found = found.select("h", F.lower(F.trim("raw")).alias("line")).withColumn("words", at_words(F.col("line")))
-    return found.select("h", shingles("line", "words").alias("s")).dropDuplicates(["h"])
+    return found.select("h", F.lower(F.trim("raw")).alias("line")).dropDuplicates(["h"])
 
 
 def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -142,7 +148,7 @@ def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = [postings.filter(F.col(f"h{i}").isNotNull()).select(F.least("h", f"h{i}").alias("a"), F.greatest("h", f"h{i}").alias("b")) for i in range(2)]
     pairs = staged(reduce(DataFrame.unionByName, pairs).distinct())
     ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    links = staged(verified(pairs, staged(shingle_sets(documents, ends, classes)), percent))
+    links = staged(verified(pairs, staged(class_lines(documents, ends, classes)), percent))
     links = across(postings, links, documents, classes, percent)
     roots = staged(components(links))
     linked = classes.join(roots, classes["h"] == roots["node"]).select("h", "first", "root")
@@ -167,8 +173,9 @@ def across(postings: DataFrame, links: DataFrame, documents: DataFrame, classes:
     components still differ are compared.
     """
     own = rooted(postings.select("key", "h", "n"), components(links))
-    sets = staged(shingle_sets(documents, own.select("h").distinct(), classes).select("h", "s", *parities(F.col("s"))))
-    own = own.join(sets.select("h", *PARITIES), "h")
+    texts = class_lines(documents, own.select("h").distinct(), classes).select("h", "line", shingles(F.col("line")).alias("s"))
+    texts = staged(texts.select("h", "line", *parities(F.col("s"))))
+    own = own.join(texts.select("h", *PARITIES), "h")
     theirs = [f"b_{c}" for c in PARITIES]
     other = [F.col("root").alias("other"), F.col("h").alias("b"), F.col("n").alias("b_n"), *(F.col(c).alias(t) for c, t in zip(PARITIES, theirs))]
 
@@ -177,9 +184,9 @@ def across(postings: DataFrame, links: DataFrame, documents: DataFrame, classes:
         return staged(pairs.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct())
 
     leader = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("h", "key", F.lit(1)).alias("r"), "root", "h", "n", *PARITIES)).alias("x")).select("key", "x.*")
-    links = links.unionByName(staged(verified(met(leader.select("key", *other), F.col("root") != F.col("other")), sets, percent)))
+    links = links.unionByName(staged(verified(met(leader.select("key", *other), F.col("root") != F.col("other")), texts, percent)))
     own = rooted(own.drop("root"), components(links))
-    return links.unionByName(staged(verified(met(own.select("key", *other), F.col("root") < F.col("other")), sets, percent)))
+    return links.unionByName(staged(verified(met(own.select("key", *other), F.col("root") < F.col("other")), texts, percent)))
 
 
 def without_repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:

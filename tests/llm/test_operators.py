@@ -231,6 +231,18 @@ def test_line_dedup(spark, odd):
     assert lines.without_repeats(odd.limit(0)).count() == 0
 
 
+def kept_lines(spark, texts):
+    return [r.keep for r in sorted(lines.line_classes(docs(spark, texts)).collect(), key=lambda r: (r.doc_id, r.line_no))]
+
+
+def test_line_shingles_hold_every_character(spark):
+    urls = ["please read all of the terms at https://example.com/" + x for x in ("licenses/2023/apache", "privacy/about/us/xyz")]
+    commits = ["commit 0123456789ab" + x * 4 for x in ("cdef012", "9876543")]
+    assert kept_lines(spark, urls) == [True, True] and kept_lines(spark, commits) == [True, True]
+    sets = spark.createDataFrame([("a\U0001f600bcdefghijklé",), ("short",), ("é" * 12,), ("ab" * 40,)], "line string").select(lines.shingles(F.col("line")).alias("s"))
+    assert [len(r.s) for r in sets.collect()] == [3, 1, 1, 2]
+
+
 def test_components(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(70)] + [(5, 5)]
