@@ -243,6 +243,12 @@ def test_line_shingles_hold_every_character(spark):
     assert [len(r.s) for r in sets.collect()] == [3, 1, 1, 2]
 
 
+def test_line_shingles_are_one_definition(spark):
+    rng = random.Random(12)
+    line = " ".join("".join(rng.choice("abcdefghij") for _ in range(11)) for _ in range(60))
+    assert len(line) == 719 and kept_lines(spark, [line, line + "xy"]) == [True, False]
+
+
 def test_components(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(70)] + [(5, 5)]
