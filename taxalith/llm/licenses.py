@@ -1,7 +1,7 @@
 """License scans by a positional rare-token index.
 
-The index holds, for every licence template, the positions of its words and each word's inverse document frequency among
-the templates. Of a file's words that the index knows, those of highest IDF are looked up; the postings they meet are
+The index holds, for every licence template, the positions of its words that are rare among the templates. All of a file's
+words that the index knows are looked up, so no licence depends on what else the file holds; the postings they meet are
 intersected by relative position (file position less template position, within ``SLACK``); a template with enough agreeing
 rare words is a candidate, and it is reported only if its mandatory key phrases stand in the aligned stretch of the file.
 Its score is the share of the template's rare words found at agreeing places. Beside the templates, a few phrases label a
@@ -13,7 +13,6 @@ words: counts 0, places null, labels empty, score 0. Very long texts are scanned
 
 from __future__ import annotations
 
-import math
 from collections import Counter, defaultdict
 from typing import NamedTuple
 
@@ -50,10 +49,9 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Index(NamedTuple):
-    """postings: word to its (template, position) places; idf by word; rare: by template, the positions that count."""
+    """postings: word to its (template, position) places; rare: by template, the positions that count."""
 
     postings: dict[bytes, list[tuple[str, int]]]
-    idf: dict[bytes, float]
     rare: dict[str, list[int]]
     size: dict[str, int]
     keys: dict[str, list[list[bytes]]]
@@ -64,7 +62,6 @@ def build(templates=TEMPLATES, phrases=BASE) -> Index:
     """Words that stand in over a third of the templates are left out of the postings: they tell nothing."""
     words = {name: words_of(text) for name, (text, _) in templates.items()}
     spread = Counter(w for ws in words.values() for w in set(ws))
-    idf = {w: math.log((1 + len(words)) / (0.5 + n)) for w, n in spread.items()}
     postings, rare = defaultdict(list), defaultdict(list)
     for name, ws in words.items():
         for i, w in enumerate(ws):
@@ -72,7 +69,7 @@ def build(templates=TEMPLATES, phrases=BASE) -> Index:
                 postings[w].append((name, i))
                 rare[name].append(i)
     keys = {name: [words_of(k) for k in ks] for name, (_, ks) in templates.items()}
-    return Index(dict(postings), idf, dict(rare), {n: len(ws) for n, ws in words.items()}, keys, [(words_of(p), label) for p, label in phrases])
+    return Index(dict(postings), dict(rare), {n: len(ws) for n, ws in words.items()}, keys, [(words_of(p), label) for p, label in phrases])
 
 
 def places(words: list[bytes], phrase: list[bytes], begin: int = 0, end: int | None = None) -> list[int]:
@@ -112,11 +109,9 @@ def scan(text: str | None, index: Index) -> Found:
     matches = []
     known = have & index.postings.keys()
     if known:
-        rarest = sorted(known, key=lambda w: (-index.idf[w], w))
         votes: dict[tuple[str, int], set[int]] = defaultdict(set)
-        wanted = set(rarest[:RAREST]) if len(rarest) > RAREST else known
         for at, w in enumerate(words):
-            if w in wanted:
+            if w in known:
                 for name, i in index.postings[w]:
                     votes[name, (at - i) // SLACK].add(i)
         best: dict[str, tuple[float, int]] = {}

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -186,6 +187,17 @@ def test_license_scan(spark, odd):
     assert licenses.license_scan(odd).count() == len(TEXTS) + 2
 
 
+def test_license_scan_of_many_notices():
+    index = licenses.build()
+    names = sorted(licenses.TEMPLATES)
+    own = {n: licenses.TEMPLATES[n][0] for n in names}
+    for some in [*itertools.combinations(names, 3), names]:
+        got = licenses.scan("\n".join(own[n] for n in some), index)
+        assert {m[0] for m in got.matches} >= set(some), some
+    vocabulary = b" ".join(sorted(index.postings)).decode()
+    assert all(n in licenses.scan(vocabulary + "\n" + own[n], index).labels for n in names)
+
+
 def test_jaccard_join_equals_brute_force(spark, odd):
     rng = random.Random(8)
     base = [[f"t{rng.randrange(4000)}" for _ in range(rng.randrange(20, 120))] for _ in range(25)]
