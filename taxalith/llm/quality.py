@@ -1,7 +1,8 @@
 """Quality: logistic regression over hashed word n-grams, trained by follow-the-regularised-leader updates.
 
 A text is two parallel token streams: its lower-cased words, and the words' shapes (runs of upper case, lower case, digits
-and each other sign, at most two long; a word equal to the one before is ``=``). Unigrams and bigrams of both streams are
+and each other sign, at most two long; a word equal to the one before is ``=``). Words of more than ``LONG`` characters or
+of a script without spaces are cut into pieces: signs of such scripts one by one, other runs of a class up to ``RUN`` long. Unigrams and bigrams of both streams are
 hashed into a fixed table; a feature's value is ``SCALE`` times its share of the text's words, so the score is a sparse dot
 product. FTRL-proximal updates (per-coordinate rates, L1 and L2) run over a bounded sample of labelled rows (``max_rows``
 per class, smallest hash of the id first). Null and empty texts hold no features: their score is that of the bias.
@@ -25,6 +26,11 @@ SHIFT = np.uint64(64 - BITS)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SAME = zlib.crc32(b"=")
 CLASSES = re.compile(r"[^\W\d_]+|\d+|_+|\W", re.UNICODE)
+LONG, RUN = 64, 16
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana and Chinese characters.
+_BARE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+BARE = re.compile(f"[{_BARE}]")
+PIECES = re.compile(rf"[{_BARE}]|[^\W\d_{_BARE}]{{1,{RUN}}}|\d{{1,{RUN}}}|_{{1,{RUN}}}|\W")
 
 
 class Model(NamedTuple):
@@ -33,9 +39,9 @@ class Model(NamedTuple):
 
 
 def shape(word: str) -> str:
-    """Character classes in order of a word, each run at most two long; more than eight signs are cut to eight."""
+    """Character classes in order of a word, each run at most two long."""
     out = []
-    for run in CLASSES.findall(word[:64]):
+    for run in CLASSES.findall(word):
         if run[0].isalpha():
             sign = "A" if run.isupper() else "a" if run.islower() else "Aa"
             sign = sign * 2 if len(run) > 1 and len(sign) == 1 else sign
@@ -43,7 +49,7 @@ def shape(word: str) -> str:
             sign = "0" if run[0].isdigit() else run[0]
         if out[-2:] != [sign, sign]:
             out.append(sign)
-    return "".join(out[:8])
+    return "".join(out)
 
 
 def coded(word: str) -> int:
@@ -51,6 +57,15 @@ def coded(word: str) -> int:
     return zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) << 32 | zlib.crc32(shape(word).encode("utf-8", "surrogatepass"))
 
 
+def words_of(text: str) -> list[str]:
+    """Words between spaces, and the pieces of those that are long or hold signs of a script without spaces."""
+    words = text.split()
+    bare = not text.isascii() and BARE.search(text) is not None
+    if bare or len(max(words, key=len, default="")) > LONG:
+        return [p for w in words for p in (PIECES.findall(w) if len(w) > LONG or bare and BARE.search(w) else (w,))]
+    return words
+
+
 class Features:
     def __init__(self):
         self.known: dict[str, int] = {}
@@ -64,7 +79,7 @@ class Features:
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, int]:
         """Table places of all n-gram occurrences of a text, and its number of words."""
-        words = (text or "").split()
+        words = words_of(text or "")
         if not words:
             return np.zeros(0, np.int64), 0
         try:

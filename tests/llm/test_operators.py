@@ -85,6 +85,20 @@ def test_quality_learns_shapes(spark, odd):
     assert toxicity.without_toxic(odd, labels).columns == odd.columns
 
 
+def test_quality_reads_unspaced_texts_whole():
+    rng = random.Random(13)
+    low = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    code = lambda bad: ",".join([low(5) for _ in range(15)] + [low(5).upper() + "!!" if bad else low(5) for _ in range(40)])
+    han = lambda bad: "".join(rng.choice("的一是了我不人在他有") for _ in range(80)) + "".join(rng.choice("鑫囍龘靐" if bad else "的一是了") for _ in range(80))
+    for make in (code, han):
+        texts, labels = [make(i % 2) for i in range(120)], [1 - i % 2 for i in range(120)]
+        score = quality.Scorer(quality.train(texts[:80], labels[:80]))
+        assert [score(t) > 0.5 for t in texts[80:]] == [x == 1 for x in labels[80:]]
+    assert quality.shape("a-b-c-d-e-F0") == "a-a-a-a-a-A0"
+    for t in ("x" * 500 + "Q9_" * 90, "ünï" * 300, "他们 abc的def " * 3, "__!!??" * 40):
+        assert "".join(quality.words_of(t)) == "".join(t.split())
+
+
 def test_packing_is_whole_and_gapless(spark, odd):
     from tokenizers import Tokenizer
 
