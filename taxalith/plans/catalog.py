@@ -405,6 +405,26 @@ def scg_approval(spark, d):
     return _rounded(genomes.approved(counts, 5, 1, 4))
 
 
+_ORDER_MARK = "c as (select o_custkey grp, o_orderpriority marker, count(*) n from orders group by 1, 2), s as (select case when marker < '3' then 1 else 2 end set_id, marker from (select distinct o_orderpriority marker from orders)), z as (select *, count(*) over (partition by set_id) size from s)"
+
+
+def _order_markers(spark, d):
+    o = _t(spark, d, "orders")
+    counts = o.groupBy(F.col("o_custkey").alias("grp"), F.col("o_orderpriority").alias("marker")).agg(F.count("*").alias("n"))
+    return counts, o.select(F.expr("if(o_orderpriority < '3', 1, 2)").alias("set_id"), F.col("o_orderpriority").alias("marker")).distinct()
+
+
+@sql(f"with {_ORDER_MARK}, k as (select count(distinct set_id) k from s) select cast(grp as bigint) grp, round(sum(1.0 / size) * 100 / any_value(k), 4) completeness, round(sum((n - 1.0) / size) * 100 / any_value(k), 4) contamination from c join z on c.marker = z.marker, k group by 1")
+def completeness_contamination_orders(spark, d):
+    return _rounded(genomes.completeness(*_order_markers(spark, d)))
+
+
+@sql(f"with {_ORDER_MARK}, m as (select count(*) k from s), a as (select grp, count(*) present, count(*) filter (where n > 1) multicopy from c group by 1) select cast(grp as bigint) grp, present, multicopy from a, m where k - present <= 1 and multicopy <= 4")
+def scg_approval_orders(spark, d):
+    counts, sets = _order_markers(spark, d)
+    return _rounded(genomes.approved(counts, sets.count(), 1, 4))
+
+
 @sql("with m as (select l_returnflag sample, case when l_suppkey % 4 = 0 then 'unbinned' else 'b' || cast(l_suppkey % 4 as varchar) end bin, count(*) reads, sum(l_quantity) size from lineitem group by 1, 2), r as (select *, case when bin <> 'unbinned' then reads / size end rate, sum(reads) over (partition by sample) total, sum(case when bin <> 'unbinned' then reads end) over (partition by sample) binned from m) select sample, bin, round(reads * 100.0 / total, 4) percent_mapped, round(rate * 100 / sum(rate) over (partition by sample) * binned / total, 4) percent_community from r")
 def community_profile(spark, d):
     m = _t(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("sample"), F.expr("if(l_suppkey % 4 = 0, 'unbinned', concat('b', l_suppkey % 4))").alias("bin")).agg(F.count("*").alias("reads"), F.sum("l_quantity").alias("size"))
@@ -476,6 +496,12 @@ def bin_comparison(spark, d):
     return _rounded(genomes.bin_comparison(rows.select(F.col("a").alias("bin"), "contig", "length"), rows.select(F.col("b").alias("bin"), "contig", "length")))
 
 
+@sql("select l_returnflag a, l_linestatus b, cast(count(*) as bigint) shared, round(count(*) * 100.0 / sum(count(*)) over (partition by l_returnflag), 4) percent_a, round(count(*) * 100.0 / sum(count(*)) over (partition by l_linestatus), 4) percent_b from lineitem group by 1, 2")
+def bin_comparison_lines(spark, d):
+    rows = _t(spark, d, "lineitem").groupBy(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").alias("contig"), F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b")).agg(F.count("*").alias("length"))
+    return _rounded(genomes.bin_comparison(rows.select(F.col("a").alias("bin"), "contig", "length"), rows.select(F.col("b").alias("bin"), "contig", "length")))
+
+
 @sql("select date_trunc('hour', ts) as start, event_type feature, count(*) reads, round(sum(value), 4) total from events group by 1, 2")
 def windowed_event_counts(spark, d):
     return _rounded(windowed_counts(_t(spark, d, "events")))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from taxalith.functions import lineage as L
 from taxalith.functions import sequence as S
 from taxalith.operators import abundance, consensus, genomes, grouped, hits, intervals, query, ranking
+from taxalith.plans import catalog
 from taxalith.sources import readers, writers
 
 
@@ -64,6 +65,19 @@ def test_intervals_match_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_marker_and_bin_queries_read_every_row(spark, tmp_path):
+    d = str(tmp_path)
+    orders = [(c, f"{p}-X") for c in (1, 2) for p in range(1, 6)] + [(2, "1-X"), (3, "5-X")]
+    spark.createDataFrame(orders, "o_custkey long, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
+    lines = [(1, 1, "A", "F"), (1, 2, "R", "F"), (1, 2, "R", "O"), (2, 7, "A", "F"), (2, 7, "A", "F")]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string").write.parquet(f"{d}/lineitem.parquet")
+    q = catalog.queries()
+    got = {r.grp: (round(r.completeness, 2), round(r.contamination, 2)) for r in q["completeness_contamination_orders"](spark, d).collect()}
+    assert got == {1: (100.0, 0.0), 2: (100.0, 25.0), 3: (16.67, 0.0)}
+    assert {(r.grp, r.present, r.multicopy) for r in q["scg_approval_orders"](spark, d).collect()} == {(1, 5, 0), (2, 5, 1)}
+    assert {(r.a, r.b, r.shared, r.percent_a, r.percent_b) for r in q["bin_comparison_lines"](spark, d).collect()} == {("A", "F", 3, 100.0, 75.0), ("R", "F", 1, 50.0, 25.0), ("R", "O", 1, 50.0, 100.0)}
+
+
 def test_n50_duplicates_cover_and_kmers(spark):
     df = spark.createDataFrame([("g", n) for n in (1, 1, 2, 2, 2, 2, 10)], "grp string, length long")
     assert ranking.n_percent(df, 50).first().n_length == 10
