@@ -24,8 +24,9 @@ def approved(counts: DataFrame, markers: int, missing: int, multiple: int) -> Da
 
 def kmer_profile(seqs: DataFrame, k: int) -> DataFrame:
     """id, kmer (the smaller of it and its reverse complement), n and share, of sequences of ACGT."""
-    each = seqs.select("id", F.explode(S.kmers(F.upper("seq"), k)).alias("w")).filter(F.col("w").rlike("^[ACGT]+$")).select("id", S.canonical(F.col("w")).alias("kmer"))
-    return word_profile(each)
+    runs = seqs.select("id", F.explode(F.regexp_extract_all(F.upper("seq"), F.lit(f"[ACGT]{{{k},}}"), F.lit(0))).alias("run"))
+    each = runs.select("id", F.explode(F.regexp_extract_all("run", F.lit(f"(?=(.{{{k}}}))"), 1)).alias("w"))
+    return word_profile(each.select("id", S.canonical(F.col("w")).alias("kmer")))
 
 
 def word_profile(words: DataFrame) -> DataFrame:

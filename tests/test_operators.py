@@ -78,6 +78,15 @@ def test_marker_and_bin_queries_read_every_row(spark, tmp_path):
     assert {(r.a, r.b, r.shared, r.percent_a, r.percent_b) for r in q["bin_comparison_lines"](spark, d).collect()} == {("A", "F", 3, 100.0, 75.0), ("R", "F", 1, 50.0, 25.0), ("R", "O", 1, 50.0, 100.0)}
 
 
+def test_kmer_queries_take_canonical_kmers_and_all_pairs(spark, tmp_path):
+    d = str(tmp_path)
+    spark.createDataFrame([(1, "aaaat"), (2, None), (3, "TTTTNACGT xé"), (4, "acg")], "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(1, "AAAA"), (3, "TTTT"), (7, "CCCC GGGG"), (9, "none")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    q = catalog.queries()
+    assert rows(q["kmer_profile_documents"](spark, d)) == [(1, "AAAA", 1, 0.5), (1, "AAAT", 1, 0.5), (3, "AAAA", 1, 0.5), (3, "ACGT", 1, 0.5)]
+    assert rows(q["kmer_distance_pairs"](spark, d)) == [(1, 3, 0.0), (1, 7, 2.0), (3, 7, 2.0)]
+
+
 def test_n50_duplicates_cover_and_kmers(spark):
     df = spark.createDataFrame([("g", n) for n in (1, 1, 2, 2, 2, 2, 10)], "grp string, length long")
     assert ranking.n_percent(df, 50).first().n_length == 10
