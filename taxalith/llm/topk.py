@@ -121,7 +121,7 @@ def _resolved(heads: DataFrame, queries: tuple[DataFrame, int], candidates: tupl
                 for i, (query, bound) in enumerate(zip(qid.tolist(), batch.column(batch.schema.get_field_index("q_bounds"))[row].as_py())):
                     at = ids != query
                     if bound is not None:
-                        at &= np.any([s[i] * lists >= bound for s in local], axis=0)
+                        at &= np.any([s[i] * len(local) >= bound for s in local], axis=0)
                     at = np.flatnonzero(at)
                     exact = sum(s[i][at] for s in local)
                     if bound is not None:

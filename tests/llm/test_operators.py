@@ -157,6 +157,14 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_top_k_of_few_components_and_negative_scores(spark):
+    for dim in (1, 2, 3):
+        rows = [(0, [1.0] * dim)] + [(i, [-float(1 + (i * (j + 3)) % 7) for j in range(dim)]) for i in range(1, 12)]
+        got = sorted((r["rank"], r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+        want = sorted((-int(256 * 256 * sum(v)), i) for i, v in rows[1:])[:5]
+        assert got == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+
+
 def test_mixing_meets_targets(spark, odd):
     assert mixing.fill([10, 100, 100], [5, 2, 1], 315, 2) == [20, 196.66666666666666, 98.33333333333333]
     rng = random.Random(7)
