@@ -16,7 +16,8 @@ change a component is lost. The join of those bounds pairs by parities too: bits
 set's elements fall, of which two sets differ in no more than in elements. No element, group or list of candidates is capped.
 
 Null texts, empty ones and rows without an id: no shingles or links; their component is their own id. Fewer than five words
-are one shingle. Repeated rows are in one class. Words are split at ASCII white space after lower-casing A-Z.
+are one shingle. Repeated rows are in one class, and ties go to the smaller id. Very long texts are compared whole. An empty
+table gives no rows. Words are split at ASCII white space after lower-casing A-Z.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, bounded, columns, staged, table, text_of
+from taxalith.llm.common import arrow_schema, bounded, columns, fresh, staged, table, text_of
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, part_bits, planes, requests, totals_of, unplanes
 from taxalith.llm.graph import components
 
@@ -70,7 +71,7 @@ def needed(n, percent: int = PERCENT):
     return -(-n * percent // 100)
 
 
-SETS = "doc_id long, n long, node long, prefix binary, l int"
+SETS = "doc_id long, key long, n long, node long, prefix binary, l int"
 #: Words of 64 bits, each bit the parity of how many elements fall on it.
 WORDS = 4
 PARITIES = [f"p{i}" for i in range(WORDS)]
@@ -89,23 +90,23 @@ def class_of(elements: np.ndarray) -> int:
 
 
 def shingle_sets(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, node (class), and the screen's prefix; node is null where there are no shingles."""
+    """doc_id, key (of the text), n, node (class), and the screen's prefix; node is null where there are no shingles."""
 
     def rows(batches):
         shingles = Shingler(width)
         schema = arrow_schema(SETS)
-        for ids, texts in columns(batches, "doc_id", "text"):
+        for ids, keys, texts in columns(batches, "doc_id", "key", "text"):
             out = []
-            for key, text in zip(ids, texts):
+            for ident, key, text in zip(ids, keys, texts):
                 got = shingles(text)
                 if not len(got):
-                    out.append((key, 0, None, b"", 0))
+                    out.append((ident, key, 0, None, b"", 0))
                     continue
                 prefix, match = screened_prefix(got, percent)
-                out.append((key, len(got), class_of(got), planes(prefix), match))
+                out.append((ident, key, len(got), class_of(got), planes(prefix), match))
             yield pa.RecordBatch.from_pydict({n: [r[i] for r in out] for i, n in enumerate(schema.names)}, schema=schema)
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(documents).alias("text")).mapInArrow(rows, SETS)
+    return documents.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(rows, SETS)
 
 
 def parities(elements: np.ndarray) -> list[int]:
@@ -126,7 +127,7 @@ def full_sets(documents: DataFrame, width: int) -> DataFrame:
             values = ([class_of(g) for g in got], [len(g) for g in got], [planes(g) for g in got], *zip(*map(parities, got)))
             yield pa.RecordBatch.from_pydict(dict(zip(schema.names, values)), schema=schema)
 
-    return documents.select("doc_id", text_of(documents).alias("text")).mapInArrow(rows, FULL)
+    return documents.select("doc_id", "text").mapInArrow(rows, FULL)
 
 
 PACKS = "batch long, nodes array<long>, ns array<long>, ls array<int>, sizes array<int>, elements binary"
@@ -277,56 +278,84 @@ def stars(postings: DataFrame, seed: int, percent: int) -> DataFrame:
 def across(postings: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidates of different components, from elements that several components hold.
 
-    The join bounds each pair by sizes, shared elements and parities, so pairs that can't link leave it in no row.
+    Each such element goes to the least (by hash) of its sets, and a set's elements that go to the same one stay together in
+    one row. Sets meet at those, so a pair leaves the join once for all elements it shares there, not once for each of them,
+    and only if sizes, shared elements and parities allow the similarity.
     """
-    named = sets.select("node", *PARITIES).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    own = staged(postings.join(named, "node"))
-    many = own.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("element")
-    own = own.join(many, "element", "left_semi")
+    rooted = postings.select("element", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    bounds = (F.min("root").alias("x"), F.max("root").alias("y"), F.min(F.xxhash64("node")).alias("at"))
+    many = rooted.groupBy("element").agg(*bounds).filter("x < y").select("element", "at")
+    together = rooted.join(many, "element").groupBy("at", "node", "root").agg(F.collect_list("element").alias("own"))
+    sized = postings.groupBy("node").agg(*(F.max(c).alias(c) for c in ("n", "m", "l")))
+    left = staged(together.join(sized, "node").join(sets.select("node", *PARITIES), "node"))
     theirs = [f"b_{p}" for p in PARITIES]
-    right = own.select("element", F.col("root").alias("other"), F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("m").alias("b_m"), F.col("l").alias("b_l"), *(F.col(p).alias(t) for p, t in zip(PARITIES, theirs)))
+    right = left.select(
+        "at",
+        *(F.col(c).alias(f"b_{c}") for c in ("n", "m", "l", "own", *PARITIES)),
+        F.col("node").alias("b"),
+        F.col("root").alias("other"),
+    )
+    shared = F.size(F.array_intersect("own", "b_own"))
     may = _similar_sizes("n", "m", "b_n", "b_m", percent) & _differ_little("n", PARITIES, "b_n", theirs, percent)
-    met = own.join(right, "element").filter((F.col("root") < F.col("other")) & may)
-    return met.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("shared"), F.min(F.least("l", "b_l")).alias("l")).filter("shared >= l").select("a", "b")
+    met = left.join(right, "at").filter((F.col("root") < F.col("other")) & may & (shared > 0))
+    met = met.select(F.col("node").alias("a"), "b", shared.alias("shared"), F.least("l", "b_l").alias("l"))
+    return met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("l").alias("l")).filter("shared >= l").select("a", "b")
 
 
-def linked(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def _rows(documents: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, key (hash of the text), n_shingles, component_id and stays (the first row of its component) of every row."""
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(documents).alias("text"))
     own = staged(shingle_sets(documents, width, percent))
-    classes = staged(own.filter("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("least")))
-    firsts = own.join(classes, (own["node"] == classes["node"]) & (own["doc_id"] == classes["least"])).select(own["node"], "n", "l", "prefix", "doc_id").dropDuplicates(["node"])
+    first = F.min(F.struct("doc_id", "key")).alias("first")
+    classes = staged(own.filter("n > 0 and doc_id is not null").groupBy("node").agg(first))
+    same = (own["node"] == classes["node"]) & (own["doc_id"] == classes["first.doc_id"]) & (own["key"] == classes["first.key"])
+    firsts = own.join(classes, same).select(own["node"], "n", "l", "prefix").dropDuplicates(["node"])
     kept = survivors(staged(packs(firsts, "prefix")))
     wanted = staged(kept.join(classes, "node"))
-    few = wanted.count() <= HELD
-    ids = wanted.select(F.col("least").alias("doc_id")).distinct()
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(documents).alias("text")).join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    ids = wanted.select(F.col("first.doc_id").alias("doc_id")).distinct()
+    texts = documents.join(F.broadcast(ids) if wanted.count() <= HELD else ids, "doc_id", "left_semi")
     sets = staged(full_sets(texts, width).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
     postings = staged(index(staged(packs(sets.withColumn("l", F.lit(0)), "elements")), percent))
     pairs = reduce(DataFrame.unionByName, [stars(postings, seed, percent) for seed in range(STARS)]).distinct()
     links = staged(verified(pairs, sets, percent))
     roots = staged(components(links))
-    more = staged(verified(across(postings, roots, sets, percent), sets, percent))
-    links = links.unionByName(more)
-    roots = components(links)
-    return _with_components(own, classes, staged(roots))
+    links = links.unionByName(staged(verified(across(postings, roots, sets, percent), sets, percent)))
+    return _with_components(own, classes, staged(components(links)))
 
 
 def _with_components(own: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the linked classes get the least document id of their component, all others that of their class."""
+    """Members of the linked classes get the first row of their component, all others that of their class."""
     named = classes.join(roots, "node")
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(least, "root").select("node", "component")
-    ids = classes.join(named, "node", "left").select("node", F.coalesce("component", "least").alias("component_id"))
-    out = own.select("doc_id", "n", "node").join(ids, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    firsts = named.groupBy("root").agg(F.min("first").alias("component"))
+    named = named.join(firsts, "root").select("node", "component")
+    ids = classes.join(named, "node", "left").select("node", F.coalesce("component", "first").alias("c"))
+    out = own.select("doc_id", "key", "n", "node").join(ids, "node", "left")
+    stays = F.col("c").isNull() | F.col("doc_id").isNull() | ((F.col("c.doc_id") == F.col("doc_id")) & (F.col("c.key") == F.col("key")))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("c.doc_id", "doc_id"))
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), component.alias("component_id"), stays.alias("stays"))
+
+
+def linked(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    return _rows(documents, width, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def joined(spark, sf_dir: str) -> DataFrame:
-    return linked(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return linked(table(spark, sf_dir, "documents"))
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
-    """documents without those that are linked to one of a smaller id; rows without an id stay."""
-    gone = staged(linked(documents.select("doc_id", "text")).filter("doc_id != component_id").select("doc_id").distinct())
-    few = gone.count() <= HELD
-    return documents.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """documents with one row of each component: that of the least id, then the least hash of the text.
+
+    Rows are told apart by id and text, so two unlike texts of one id are two documents. Of rows that repeat both, one stays.
+    Rows without an id stay. All columns are kept, whatever their names.
+    """
+    rows = staged(_rows(documents, width, percent).filter("doc_id is not null"))
+    marks = rows.groupBy("doc_id", "key").agg(F.every("stays").alias("stays"), (F.count("*") > 1).alias("many")).filter("many or not stays")
+    marks = staged(marks)
+    ident, key, stays, many = fresh(documents, "ident", "key", "stays", "many")
+    marks = marks.select(F.col("doc_id").alias(ident), F.col("key").alias(key), F.col("stays").alias(stays), F.col("many").alias(many))
+    own = (documents["doc_id"].cast("long") == marks[ident]) & (F.xxhash64(text_of(documents)) == marks[key])
+    out = documents.join(F.broadcast(marks) if marks.count() <= HELD else marks, own, "left").filter(F.coalesce(stays, F.lit(True)))
+    repeated = F.coalesce(F.col(many), F.lit(False))
+    return out.filter(~repeated).select(*documents.columns).unionByName(out.filter(repeated).dropDuplicates([ident, key]).select(*documents.columns))
