@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,22 +18,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="taxalith-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The application's own folder in the one that driver and executors share, removed when the driver's Python ends.
+
+    The shared folder is the session's spark.checkpoint.dir. Where that is unset, a local session gets a temporary folder;
+    a cluster is an error, as its executors would not see the driver's folders.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not spark.sparkContext.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="taxalith-")
+        _FOLDERS[app] = f"{folder.rstrip('/')}/taxalith-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove, spark, _FOLDERS[app])
+    return _FOLDERS[app]
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back, which cuts the lineage.
 
-    The files outlive lost executors. ``unstage`` removes them once nothing reads them any more.
+    The files outlive lost executors. ``unstage`` removes them once nothing reads them any more; what is left goes when the
+    driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/taxalith-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._taxalith_path = path
@@ -40,10 +62,50 @@ def staged(df: DataFrame) -> DataFrame:
 def unstage(*frames: DataFrame) -> None:
     """Deletes the files of staged tables whose consumers have all been written."""
     for df in frames:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._taxalith_path)
-        fs = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
-        fs.delete(path, True)
+        _remove(df.sparkSession, df._taxalith_path)
+
+
+def labelled(documents: DataFrame, labels: DataFrame, label: str, max_rows: int, seed: int) -> DataFrame:
+    """doc_id, text and label of at most max_rows labelled ids of each class outside fold 1 of 3, by least seeded hash.
+
+    Labels that are null or neither 0 nor 1, and null ids, are skipped. An id labelled 0 and 1 counts as 1; an id of several
+    documents gives its least text. All of that is settled on the cluster, before the sample meets in one place.
+    """
+    named = labels.filter(f"doc_id is not null and {label} in (0, 1)").groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    named = named.filter(crc_mod(F.col("doc_id"), 3) != 1).withColumn("place", F.xxhash64("doc_id", F.lit(seed)))
+    parts = [named.filter(F.col("label") == c).orderBy("place", "doc_id").limit(max_rows) for c in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]).select("doc_id", "label"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(documents).alias("text"))
+    return rows.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def trained_in_task(rows: DataFrame, train: Callable[[list[str], list[int]], tuple]) -> tuple:
+    """The model that train(texts, labels) makes of a bounded sample, trained in one task; only weights come to the driver.
+
+    train returns (weights, *numbers). The rows are put in order, so that the model doesn't depend on how they arrive.
+    """
+    schema = "weights binary, numbers array<double>"
+
+    def one(batches):
+        sample = sorted(row for batch in columns(batches, "doc_id", "text", "label") for row in zip(*batch))
+        weights, *numbers = train([t for _, t, _ in sample], [x for _, _, x in sample])
+        yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "numbers": [[float(x) for x in numbers]]}, schema=arrow_schema(schema))
+
+    got = rows.coalesce(1).mapInArrow(one, schema).first()
+    if got is None:  # no labelled row
+        return train([], [])
+    return np.frombuffer(got.weights, np.float32), *got.numbers
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of df is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def text_of(df: DataFrame, col: str = "text") -> Column:

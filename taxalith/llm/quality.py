@@ -5,7 +5,9 @@ and each other sign, at most two long; a word equal to the one before is ``=``).
 of a script without spaces are cut into pieces: signs of such scripts one by one, other runs of a class up to ``RUN`` long. Unigrams and bigrams of both streams are
 hashed into a fixed table; a feature's value is ``SCALE`` times its share of the text's words, so the score is a sparse dot
 product. FTRL-proximal updates (per-coordinate rates, L1 and L2) run over a bounded sample of labelled rows (``max_rows``
-per class, smallest hash of the id first). Null and empty texts hold no features: their score is that of the bias.
+per class, smallest hash of the id first) in one task; an id with both labels counts as good. Null and empty texts hold no
+features: their score is that of the bias. A null or repeated id, and a repeated row, is scored like any other, rows of equal
+text alike. Very long texts are scored whole. An empty table gives no rows; with no labels every score is 0.5.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, bounded, columns, crc_mod, table, text_of
+from taxalith.llm.common import arrow_schema, bounded, columns, crc_mod, labelled, table, text_of, trained_in_task
 
 BITS, SCALE, CACHE, SEED = 20, 10.0, 400_000, 11
 SHIFT = np.uint64(64 - BITS)
@@ -130,14 +132,8 @@ class Scorer:
 
 
 def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 3000) -> Model:
-    """Learns from at most max_rows labelled rows of each class outside fold 1 of 3; null labels are skipped."""
-    named = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    named = named.filter(crc_mod(F.col("doc_id"), 3) != 1).withColumn("place", F.xxhash64("doc_id", F.lit(SEED)))
-    parts = [named.filter(F.col("quality") == c).orderBy("place", "doc_id").limit(max_rows) for c in (0, 1)]
-    chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = documents.select(F.col("doc_id"), text_of(documents).alias("text")).join(chosen, "doc_id").select("doc_id", "text", "quality").toPandas()
-    rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    return train(rows.text.tolist(), rows.quality.tolist())
+    """Learns from at most max_rows labelled rows of each class outside fold 1 of 3, in one task."""
+    return Model(*trained_in_task(labelled(documents, labels, "quality", max_rows, SEED), train))
 
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"

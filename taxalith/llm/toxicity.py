@@ -7,8 +7,11 @@ the classes it explains; n-grams that hardly any row has stay at zero. A documen
 mean over all windows and then follows each document's strongest windows. Unseen misspellings share n-gram vectors with the
 words seen. A held-back fifth of the training rows calibrates the logit (bias and slope), so that 0.7 is a usable cut.
 
-Labels are learnt from a bounded sample (``max_rows`` labelled rows per class, smallest hash of the id first). Null and
-empty texts are one empty window: their score is that of the bias alone. A null or repeated id is scored like any other.
+Labels are learnt from a bounded sample (``max_rows`` labelled rows per class, smallest hash of the id first) in one task;
+an id with both labels counts as toxic. Null and empty texts are one empty window: their score is that of the bias alone. A
+null or repeated id, and a repeated row, is scored like any other, rows of equal text alike. Very long texts are scored whole.
+An empty table gives no rows; with no labels every score is 0.5, so that nothing is rejected. ``without_toxic`` keeps all
+columns as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, columns, crc_mod, table, text_of
+from taxalith.llm.common import arrow_schema, columns, crc_mod, labelled, table, text_of, trained_in_task
 
 BUCKETS, DIM, SMALLEST, LARGEST, WINDOW = 1 << 18, 8, 3, 6, 6
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -79,36 +82,38 @@ def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30,
         p = (y.sum() + 0.5) / (len(y) + 1)
         return Model(np.zeros(BUCKETS, np.float32), 0.0, float(np.log(p / (1 - p))))
     known: dict[str, int] = {}
-    bags = [np.fromiter((known.setdefault(w, len(known)) for w in words_of(t)), np.int64) for t in texts]
-    gram, owner, gram_n = gram_table(list(known))
+    bags = [np.fromiter((known.setdefault(w, len(known)) for w in words_of(t)), np.int32) for t in texts]
+    bucket, owner, gram_n = gram_table(list(known))
+    known.clear()
+    spread = np.bincount(np.concatenate([np.unique(b) for b in bags]), minlength=len(gram_n))
+    used = np.flatnonzero(np.bincount(bucket, spread[owner], BUCKETS) >= np.clip(len(y) / 100, 5, 40))
+    place = np.searchsorted(used, bucket)
+    place[place == len(used)] = 0
+    often = used[place] == bucket if len(used) else np.zeros(len(bucket), bool)
+    gram, owner = place[often].astype(np.int32), owner[often].astype(np.int32)
     token = np.concatenate(bags)
     sizes = np.array([len(b) for b in bags])
     windows = np.maximum(1, -(-sizes // WINDOW))
-    doc_of_window = np.repeat(np.arange(len(y)), windows)
+    doc_of_window = np.repeat(np.arange(len(y), dtype=np.int32), windows)
     first = np.concatenate(([0], np.cumsum(windows)[:-1]))
-    place = np.arange(len(doc_of_window)) - first[doc_of_window]
-    window_n = np.clip(sizes[doc_of_window] - place * WINDOW, 0, WINDOW)
-    window_of_token = np.repeat(np.arange(len(window_n)), window_n)
+    window_n = np.clip(sizes[doc_of_window] - (np.arange(len(doc_of_window)) - first[doc_of_window]) * WINDOW, 0, WINDOW)
+    window_of_token = np.repeat(np.arange(len(window_n), dtype=np.int32), window_n)
     share = 1 / np.maximum(1, window_n)
     rng = np.random.default_rng(SEED)
-    emb = rng.normal(0, 0.1, (BUCKETS, DIM))
+    emb = rng.normal(0, 0.1, (BUCKETS, DIM))[used]
     soft = rng.normal(0, 0.5, (DIM, 2))
     bias = np.zeros(2)
     held = rng.random(len(y)) < 0.2
     weight = np.where(y == 1, 0.5 / max(1, (y[~held] == 1).sum()), 0.5 / max(1, (y[~held] == 0).sum())) * ~held
-    spread = np.bincount(np.concatenate([np.unique(b) for b in bags]), minlength=len(gram_n))
-    common = np.bincount(gram, spread[owner], BUCKETS) >= np.clip(len(y) / 100, 5, 40)
-    emb[~common] = 0
     speed = [np.zeros_like(p) for p in (emb, soft, bias)]
 
-    def logits() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def logits() -> tuple[np.ndarray, np.ndarray]:
         per_gram = emb @ (soft[:, 1] - soft[:, 0])
         per_word = np.bincount(owner, per_gram[gram], len(gram_n)) / gram_n
-        per_window = np.bincount(window_of_token, per_word[token], len(window_n)) * share
-        return per_gram, per_word, per_window
+        return per_gram, np.bincount(window_of_token, per_word[token], len(window_n)) * share
 
     for epoch in range(1, epochs + 1):
-        _, _, per_window = logits()
+        _, per_window = logits()
         if epoch <= warm:
             focus = 1 / windows[doc_of_window]
         else:
@@ -118,21 +123,23 @@ def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30,
         delta = (sigmoid(z) - y) * weight
         to_window = delta[doc_of_window] * focus * share
         to_word = np.bincount(token, to_window[window_of_token], len(gram_n)) / gram_n
-        to_gram = np.bincount(gram, to_word[owner], BUCKETS) * common
+        to_gram = np.bincount(gram, to_word[owner], len(used))
         lean = soft[:, 1] - soft[:, 0]
         d_lean = to_gram @ emb
         grads = (np.outer(to_gram, lean), np.stack([-d_lean, d_lean], 1), np.array([-delta.sum(), delta.sum()]))
         for p, g, v, r in zip((emb, soft, bias), grads, speed, (rate, rate / 20, rate / 20)):
             v *= 0.8
-            v -= r * g / max(np.abs(g).max(), 1e-12)
+            v -= r * g / max(np.abs(g).max(initial=0), 1e-12)
             p += v
         emb *= 1 - decay
-    per_gram, _, per_window = logits()
+    per_gram, per_window = logits()
+    weights = np.zeros(BUCKETS, np.float32)
+    weights[used] = per_gram
     top = np.maximum.reduceat(per_window, first)
     if min((y[held] == 1).sum(), (y[held] == 0).sum()) < FOLD:
         held = np.ones(len(y), bool)
     slope, offset = calibrated(top[held], y[held])
-    return Model(per_gram.astype(np.float32), slope, offset)
+    return Model(weights, slope, offset)
 
 
 def calibrated(z: np.ndarray, y: np.ndarray, steps: int = 200) -> tuple[float, float]:
@@ -176,15 +183,9 @@ class Scorer:
         return out
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 1800) -> Model:
-    """Learns from at most max_rows labelled rows of each class outside fold 1 of 3; labels repeated or null are skipped."""
-    named = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    named = named.filter(crc_mod(F.col("doc_id"), 3) != 1).withColumn("place", F.xxhash64("doc_id", F.lit(SEED)))
-    parts = [named.filter(F.col("toxic") == c).orderBy("place", "doc_id").limit(max_rows) for c in (0, 1)]
-    chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = documents.select(F.col("doc_id"), text_of(documents).alias("text")).join(chosen, "doc_id").select("doc_id", "text", "toxic").toPandas()
-    rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    return train(rows.text.tolist(), rows.toxic.tolist())
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = 3000) -> Model:
+    """Learns from at most max_rows labelled rows of each class outside fold 1 of 3, in one task."""
+    return Model(*trained_in_task(labelled(documents, labels, "toxic", max_rows, SEED), train))
 
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
