@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 REQUESTS = "part long, batch long, keys binary, adds binary"
-REPLIES = "batch long, part long, totals binary"
+REPLIES = "batch long, part long, totals binary, keys_met long, sum_met long"
 #: Keys that a part holds on average at most.
 PART = 1_000_000
 
@@ -49,14 +49,14 @@ def requests(batch: int, keys: np.ndarray, adds: np.ndarray, bits: int, first: i
 
 def _answer(part: pd.DataFrame) -> pd.DataFrame:
     keys = [np.cumsum(unplanes(k, np.uint64)) for k in part["keys"]]
-    adds = np.concatenate([unplanes(a, np.uint32) for a in part["adds"]])
-    together, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(place, adds, len(together)).astype(np.uint32)
     ends = np.cumsum([len(k) for k in keys])
+    together, place = np.unique(np.concatenate(keys), return_inverse=True)
+    del keys
+    adds = np.concatenate([unplanes(a, np.uint32) for a in part["adds"]])
+    totals = np.bincount(place, adds, len(together)).astype(np.uint64)
     back = [planes(totals[p]) for p in np.split(place, ends[:-1])]
-    number = part["part"].iloc[0]
-    sums = np.array([np.count_nonzero(totals), totals.sum(dtype=np.int64)], np.int64)
-    return pd.DataFrame({"batch": [*part["batch"], -1], "part": [*part["part"], number], "totals": [*back, sums.tobytes()]})
+    none = [0] * len(back)
+    return pd.DataFrame({"batch": [*part["batch"], -1], "part": [*part["part"], part["part"].iloc[0]], "totals": [*back, b""], "keys_met": [*none, np.count_nonzero(totals)], "sum_met": [*none, totals.sum(dtype=np.int64)]})
 
 
 def answered(asked: DataFrame) -> DataFrame:
@@ -64,6 +64,12 @@ def answered(asked: DataFrame) -> DataFrame:
     return asked.groupBy("part").applyInPandas(_answer, REPLIES)
 
 
+def met(replies: DataFrame, parts: int) -> tuple[int, int]:
+    """Over the first parts: how many keys have a total, and the sum of totals."""
+    got = replies.filter((F.col("batch") == -1) & (F.col("part") < parts)).agg(F.sum("keys_met").alias("keys"), F.sum("sum_met").alias("sums")).first()
+    return got.keys or 0, got.sums or 0
+
+
 def by_batch(replies: DataFrame) -> DataFrame:
     """A row per batch with its replies in the order of parts."""
     real = replies.filter("batch >= 0")
@@ -71,4 +77,4 @@ def by_batch(replies: DataFrame) -> DataFrame:
 
 
 def totals_of(replies: list[bytes]) -> np.ndarray:
-    return np.concatenate([unplanes(r, np.uint32) for r in replies]) if replies else np.zeros(0, np.uint32)
+    return np.concatenate([unplanes(r, np.uint64) for r in replies]) if replies else np.zeros(0, np.uint64)

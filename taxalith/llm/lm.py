@@ -10,7 +10,8 @@ to parts of the key space and come back with totals (see ``exchange``), so what
 holds a frequent word's rows, and the driver sees only sums over a bounded grid of (bucket, estimate, estimate).
 
 Tokens are the words of a text, A-Z lower-cased, and one end; the first word's context is an end. Null and empty texts are an
-end alone. A null id is in no fold and so in training. With no training tokens every probability is uniform.
+end alone. A null id is in no fold and so in training. Repeated rows count and are scored as often as they come; ties do not
+arise. Very long texts are scored whole. With no training tokens every probability is uniform; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxalith.llm.common import arrow_schema, columns, crc_mod, staged, table, text_of
-from taxalith.llm.exchange import REQUESTS, answered, by_batch, part_bits, planes, requests, totals_of, unplanes
+from taxalith.llm.exchange import REQUESTS, answered, by_batch, met, part_bits, planes, requests, totals_of, unplanes
 
-FOLDS, BATCH_CHARS, ROUNDS, STEP, FLOOR = 10, 12_000_000, 60, 8, -12.0
+FOLDS, BATCH_CHARS, ROUNDS, STEP, FLOOR = 10, 4_000_000, 60, 8, -12.0
 END = np.uint64(0)
 BATCHES = "batch long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, words binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -85,18 +86,22 @@ class Batch:
         self.number = get("batch").as_py()
         self.ids, self.held = get("doc_ids").as_py(), np.array(get("held").as_py(), bool)
         self.sizes = np.array(get("sizes").as_py(), np.int64)
-        self.word = unplanes(get("tokens").as_py(), np.uint32).astype(np.int64)
+        self.word = unplanes(get("tokens").as_py(), np.uint32)
         hashes = unplanes(get("words").as_py(), np.uint64)
         starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         self.starts = starts
-        self.context = np.concatenate(([0], self.word[:-1]))
+        self.context = np.roll(self.word, 1)
         self.context[starts] = 0
         self.training = np.repeat(~self.held, self.sizes)
-        self.words, self.word_place = np.unique(hashes, return_inverse=True)
-        left, right = hashes[self.context], hashes[self.word]
-        mixed = (left ^ (left >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + right * np.uint64(0x94D049BB133111EB)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-        self.bigrams, self.bigram_place = np.unique(mixed ^ (mixed >> np.uint64(31)), return_inverse=True)
+        self.words, place = np.unique(hashes, return_inverse=True)
+        self.word_place = place.astype(np.int32)
+        mixed = ((hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))[self.context]
+        mixed += (hashes * np.uint64(0x94D049BB133111EB))[self.word]
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(31)
+        self.bigrams, place = np.unique(mixed, return_inverse=True)
+        self.bigram_place = place.astype(np.int32)
 
     def asked(self, bits: int) -> list[tuple]:
         word = np.bincount(self.word_place[self.word[self.training]], minlength=len(self.words))
@@ -114,7 +119,7 @@ def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Batch, list[bytes]
     for batch in batches:
         at = batch.schema.get_field_index("replies")
         for i in range(batch.num_rows):
-            yield Batch(batch, i), batch.column(at)[i].as_py() if at >= 0 else []
+            yield Batch(batch, i), batch.column(at)[i].as_py() if at >= 0 else []  # the caller's batch goes before the next one comes
 
 
 def buckets(context: np.ndarray) -> np.ndarray:
@@ -135,6 +140,7 @@ def cells(joined: DataFrame, tokens: int, kinds: int) -> DataFrame:
             c2, ch, cw = (c[b.training] - 1 for c in b.counts(replies))
             p2 = np.where(ch > 0, np.maximum(c2, 0) / np.maximum(ch, 1), 0.0)
             p1 = np.maximum(cw, 0) / max(1, tokens - 1)
+            del b, replies, c2, cw
             key = (buckets(np.maximum(ch, 0)) * 1000 - grid(p2)) * 1000 - grid(p1)
             key, place = np.unique(key, return_inverse=True)
             sums = [np.bincount(place, w, len(key)) for w in (np.ones(len(place)), p2, p1)]
@@ -169,11 +175,11 @@ def lm_scores(documents: DataFrame) -> DataFrame:
         schema = arrow_schema(REQUESTS)
         for b, _ in each(batches):
             asked = b.asked(bits)
+            del b
             yield pa.RecordBatch.from_pydict({n: [r[i] for r in asked] for i, n in enumerate(schema.names)}, schema=schema)
 
     replies = staged(answered(stored.mapInArrow(ask, REQUESTS)))
-    sums = [np.frombuffer(r.totals, np.int64) for r in replies.filter(f"batch = -1 and part < {1 << bits}").collect()]
-    kinds, tokens = int(sum(s[0] for s in sums)), int(sum(s[1] for s in sums))
+    kinds, tokens = met(replies, 1 << bits)
     joined = stored.join(by_batch(replies), "batch")
     mixture = weights(cells(joined, tokens, kinds).collect(), kinds)
     last = (0.0, 0.5, 0.5)
@@ -189,6 +195,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
             base = np.log10((cw + 0.1) / (tokens + 0.1 * (kinds + 1)))
             known, base, full = (np.add.reduceat(x, b.starts) for x in ((cw > 0).astype(np.int64), base, np.log10(p)))
             yield pa.RecordBatch.from_pydict(dict(zip(schema.names, (b.ids, b.held, b.sizes, known, np.full(len(b.ids), tokens), base, full))), schema=schema)
+            del b, got, c2, ch, cw, w, p, known, base, full
 
     return joined.mapInArrow(score, SCORES)
 
