@@ -45,6 +45,18 @@ def _remove(spark: SparkSession, folder: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Lets Spark delete a query's shuffle files as soon as the query ends: nothing reads them once its result is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back, which cuts the lineage.
 
@@ -53,7 +65,8 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._taxalith_path = path
     return out

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, bounded, columns, fresh, staged, table, text_of
+from taxalith.llm.common import arrow_schema, bounded, columns, fresh, staged, table, text_of, unstage
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, part_bits, planes, requests, totals_of, unplanes
 from taxalith.llm.graph import components
 
@@ -310,12 +310,15 @@ def _rows(documents: DataFrame, width: int, percent: int) -> DataFrame:
     classes = staged(own.filter("n > 0 and doc_id is not null").groupBy("node").agg(first))
     same = (own["node"] == classes["node"]) & (own["doc_id"] == classes["first.doc_id"]) & (own["key"] == classes["first.key"])
     firsts = own.join(classes, same).select(own["node"], "n", "l", "prefix").dropDuplicates(["node"])
-    kept = survivors(staged(packs(firsts, "prefix")))
-    wanted = staged(kept.join(classes, "node"))
+    packed = staged(packs(firsts, "prefix"))
+    wanted = staged(survivors(packed).join(classes, "node"))
+    unstage(packed)
     ids = wanted.select(F.col("first.doc_id").alias("doc_id")).distinct()
     texts = documents.join(F.broadcast(ids) if wanted.count() <= HELD else ids, "doc_id", "left_semi")
     sets = staged(full_sets(texts, width).join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    postings = staged(index(staged(packs(sets.withColumn("l", F.lit(0)), "elements")), percent))
+    packed = staged(packs(sets.withColumn("l", F.lit(0)), "elements"))
+    postings = staged(index(packed, percent))
+    unstage(packed)
     pairs = reduce(DataFrame.unionByName, [stars(postings, seed, percent) for seed in range(STARS)]).distinct()
     links = staged(verified(pairs, sets, percent))
     roots = staged(components(links))

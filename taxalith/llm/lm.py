@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, columns, crc_mod, staged, table, text_of
+from taxalith.llm.common import arrow_schema, columns, crc_mod, staged, table, text_of, unstage
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, met, part_bits, planes, requests, totals_of, unplanes
 
 FOLDS, BATCH_CHARS, ROUNDS, STEP, FLOOR = 10, 4_000_000, 60, 8, -12.0
@@ -180,7 +180,8 @@ def lm_scores(documents: DataFrame) -> DataFrame:
 
     replies = staged(answered(stored.mapInArrow(ask, REQUESTS)))
     kinds, tokens = met(replies, 1 << bits)
-    joined = stored.join(by_batch(replies), "batch")
+    joined = staged(stored.join(by_batch(replies), "batch"))
+    unstage(stored, replies)
     mixture = weights(cells(joined, tokens, kinds).collect(), kinds)
     last = (0.0, 0.5, 0.5)
     by_bucket = np.array([mixture.get(b) or mixture.get(max((x for x in mixture if 0 < x < b), default=0)) or last for b in range(70)])
