@@ -9,7 +9,8 @@ run, so the plan has a bounded number of rows (at most a few for each length and
 Executors number the pieces of each length, in salted buckets so that no task holds a whole length, and look their place up.
 
 Null texts are empty; an empty document is its end token alone. Longer documents are cut into pieces of ``CAPACITY`` tokens,
-of which the first may be shorter. Repeated rows are packed as often as they come.
+of which the first may be shorter. Repeated rows are packed as often as they come, null ids like others; which of equal pieces
+stands where makes no difference. Very long texts are encoded whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ def tokenizer_path() -> str:
 class Encoder:
     """Ids as little-endian 32-bit bytes. Words between single spaces are looked up: the tokenizer splits there anyhow.
 
+    A text that holds one of the tokenizer's added tokens goes through ``tokenizers`` as a whole.
     ``tokenizers`` defines the ids. New words go through ``tiktoken`` over the same vocabulary's ranks, which encodes a word
     ten times as fast; each encoder compares the first ``PROBE`` of them with ``tokenizers`` and stays with that if they differ.
     """
@@ -55,7 +57,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.probe = PROBE
         try:
@@ -74,15 +76,17 @@ class Encoder:
             self.probe -= 1
             if self.fast.encode_ordinary(text) != self.defined(text):
                 self.fast = None
-        ids = self.fast.encode_ordinary(text) if self.fast else self.defined(text)
+        return self.packed(self.fast.encode_ordinary(text) if self.fast else self.defined(text))
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def word(self, word: str) -> bytes:
         """A word behind a space. Letters alone are one unit of the tokenizer's first split, and so is a sign after them."""
         if self.fast and not self.probe:
             if word.isalpha():
-                ids = self.fast._core_bpe.encode_single_piece(b" " + word.encode())
-                return struct.pack(f"<{len(ids)}I", *ids)
+                return self.packed(self.fast._core_bpe.encode_single_piece(b" " + word.encode()))
             if word[-1:] in SIGNS and word[:-1].isalpha():
                 head = self.known.get(word[:-1])
                 if head is None:
@@ -103,7 +107,9 @@ class Encoder:
             plain = {}
             for j in range(i, min(i + 128, len(texts))):
                 t = texts[j]
-                if t and (t[0] == " " or t[-1] == " " or ODD.search(t)):
+                if any(x in t for x in self.special):
+                    out[j] = self.packed(self.defined(t))
+                elif t and (t[0] == " " or t[-1] == " " or ODD.search(t)):
                     out[j] = self.encode(t)
                 elif t:
                     first, *rest = t.split(" ")
