@@ -1,205 +1,216 @@
 """Line dedup: MinHash signatures of character shingles, banding, exact Jaccard verification, distributed union-find.
 
-All of it is DataFrame functions. A line, lower-cased and trimmed, is the set of its shingles of ``WIDTH`` characters
-that start at every character, whatever its length and words; a shorter line is one shingle. Shingles are 64-bit hashes and
-are computed again from the lines where sets are compared, as they take eight times a line's room. The signature is one-permutation MinHash: the hash space is cut into bins and a band is the up to ``ROWS``
-least hashes of one bin, so bands agree with probability J**ROWS; lines of few shingles have two wide bins besides. Bands
-of fewer than two hashes are left out unless the line has no other.
+All of it is DataFrame functions. A line, lower-cased and without white space at its ends, is the set of its shingles of
+``WIDTH`` characters that start at every character, whatever its length and words; a shorter line is one shingle. The
+signature is one-permutation MinHash: the space of the shingles' 64-bit hashes is cut into bins and a band is the up to
+``ROWS`` least hashes of one bin, so bands agree with probability J**ROWS; lines of few shingles have two wide bins besides.
+Bands of fewer than two hashes are left out unless the line has hardly any shingles.
 
 Equal lines are one class. Candidates are pairs of classes that share a band: first each band's lines with two leaders, one
-of them chosen anew in every band, then all pairs whose components still differ, so large groups cost no pairs of their
-members. Candidates are bounded by sizes and parities before they leave a join: a pair goes only if it can't be similar enough. A
-candidate is a link if the sets' Jaccard similarity is ``PERCENT`` or more. One line of each component stays: the one of
-the smallest (doc_id, line number). Blank lines are neither compared nor dropped; null and empty texts have one blank line.
-Rows of the same id and text are one document. Very long lines are compared whole.
+of them chosen anew in every band; then, in bands that still hold several components, with a leader that many bands have in
+common, and last all pairs whose components still differ. So large groups cost no pairs of their members, and a pair leaves
+the last joins once for all its bands at a leader, and only if sizes and parities allow the similarity. A candidate is a link
+if the Jaccard similarity of the whole sets, computed again from the lines, is ``PERCENT`` or more. One line of each component
+stays: the one of the smallest (doc_id, line number). Blank lines are neither compared nor dropped; null and empty texts have
+one blank line. Rows of the same id and text are one document, whose lines stay or go in all of its rows. A null id counts as
+the largest. Very long lines are compared whole. An empty table gives no rows. Lines whose 64-bit class another line has too,
+as a second hash tells, are left as they are.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import staged, table, text_of
+from taxalith.llm.common import fresh, staged, table, text_of, unstage
 from taxalith.llm.graph import components
 
-WIDTH, BINS, ROWS, FEW, WORDS, PERCENT, HELD = 12, 3, 3, 24, 4, 80, 500_000
+WIDTH, BINS, ROWS, FEW, WORDS, PERCENT, HELD = 12, 3, 3, 24, 16, 80, 500_000
 #: The least hash of every bin.
 EDGES = [i << 64 - BINS for i in range(-(1 << BINS - 1), 1 << BINS - 1)]
+BLANK = " \t\r\x0b\x0c"
 
 
 def shingles(line: Column) -> Column:
-    """Distinct hashes of a line's shingles at every character; a line too short for any is one shingle.
+    """Hashes of a line's shingles at every character, repeats included; a line too short for any is one shingle.
 
     Characters are four bytes each, so a shingle is cut out without counting from the line's start. The array of one holds
     the coded line, which would be coded anew for every shingle otherwise.
     """
     starts = F.sequence(F.lit(1), F.greatest(F.length(line) - WIDTH, F.lit(0)) * 4 + 1, F.lit(4))
     coded = F.array(F.encode(line, "UTF-32"))
-    return F.array_distinct(F.transform(coded, lambda c: F.transform(starts, lambda i: F.xxhash64(F.substring(c, i, F.lit(4 * WIDTH)))))[0])
+    return F.transform(coded, lambda c: F.transform(starts, lambda i: F.xxhash64(F.substring(c, i, F.lit(4 * WIDTH)))))[0]
 
 
-def bin_of(x: Column) -> Column:
-    """The bin of a hash, from -(1 << BINS - 1)."""
-    return F.shiftright(x, 64 - BINS)
+def banded(lines: DataFrame, hashes: Column, n: Column) -> DataFrame:
+    """lines with keys: their bands' keys, null where there is no band. n: the number of shingles.
 
+    In steps, of which the sort and the search for the edges are compiled; the last one only handles a few hashes of a line.
+    """
+    edges = F.array(*map(F.lit, EDGES))
+    out = lines.select("*", n.alias("_n"), F.sort_array(F.concat(hashes, edges)).alias("_m"))
+    found = F.array(*(F.array_position("_m", F.lit(e)).cast("int") for e in EDGES), F.size("_m") + 1)
+    out = out.select("*", found.alias("_p"))
 
-def least(m: Column) -> Column:
-    """Of sorted hashes with all EDGES among them, the ROWS least ones behind the edge of every bin."""
-
-    def held(edge: int) -> Column:
-        behind = F.slice(m, F.array_position(m, F.lit(edge)).cast("int") + 1, ROWS)
-        return F.filter(behind, lambda x: bin_of(x) == edge >> 64 - BINS)
+    def between(begin: Column, end: Column, most: int | None = None) -> Column:
+        size = F.get("_p", end) - F.get("_p", begin) - 1
+        return F.slice("_m", F.get("_p", begin) + 1, F.least(size, F.lit(most)) if most else size)
 
-    return F.flatten(F.array(*map(held, EDGES)))
+    def key(bins: int, i: Column, least: Column, enough: Column) -> Column:
+        return F.when(enough | (F.col("_n") < 4) & (F.size(least) > 0), F.xxhash64(F.lit(bins), i, least))
 
+    def fine(i: Column) -> Column:
+        """The ROWS least distinct hashes; all of a bin are looked at only where they repeat."""
+        some, whole = between(i, i + 1, ROWS), F.slice(F.array_distinct(between(i, i + 1)), 1, ROWS)
+        plain = F.size(F.array_distinct(some)) == F.size(some)
+        return F.when(plain, key(BINS, i, some, F.size(some) > 1)).otherwise(key(BINS, i, whole, F.size(whole) > 1))
 
-def bands(t: Column, n: Column) -> Column:
-    """Band keys of a set of n shingles, from the least ones of every bin in order."""
+    def wide(g: Column) -> Column:
+        half = len(EDGES) // 2
+        least = F.slice(F.array_except(between(g * half, (g + 1) * half), edges), 1, ROWS)
+        return key(1, g, least, F.size(least) > 1)
 
-    def key(bins: int, i: Column, held: Column) -> Column:
-        return F.when((F.size(held) > 1) | ((n < 4) & (F.size(held) > 0)), F.xxhash64(F.lit(bins), i, held))
+    each = F.transform(F.sequence(F.lit(0), F.lit(len(EDGES) - 1)), fine)
+    few = F.when(F.col("_n") <= FEW, F.concat(each, F.transform(F.sequence(F.lit(0), F.lit(1)), wide))).otherwise(each)
+    return out.select(*lines.columns, few.alias("keys"))
 
-    def opened(x: Column, i: Column) -> Column:
-        starts = (i == 0) | (bin_of(x) != bin_of(F.get(t, i - 1)))
-        return F.when(starts, key(BINS, bin_of(x), F.filter(F.slice(t, i + 1, ROWS), lambda y: bin_of(y) == bin_of(x))))
 
-    fine = F.transform(t, opened)
-    below = [F.filter(t, lambda x: x < 0), F.filter(t, lambda x: x >= 0)]
-    wide = F.array(*[key(1, F.lit(i), F.slice(held, 1, ROWS)) for i, held in enumerate(below)])
-    return F.array_distinct(F.array_compact(F.when(n <= FEW, F.concat(fine, wide)).otherwise(fine)))
+PARITIES = [f"p{i}" for i in range(WORDS)]
 
 
-def parity(s: Column) -> Column:
-    """64 bits; each tells whether an odd number of shingles fall on it.
+def with_parities(texts: DataFrame) -> DataFrame:
+    """h, n (distinct shingles) and the parities of each line: bits that tell on which places an odd number of shingles fall.
 
     Each shingle that only one of two sets holds flips one bit, so the sets differ in no fewer shingles than bits.
     """
-    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x, 1).bitwiseAND(63).cast("int"))
-    return F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(one(x)))
+    each = texts.select("h", F.explode(F.array_distinct(shingles(F.col("line")))).alias("x"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
+    word = F.shiftright("x", 6).bitwiseAND(WORDS - 1)
+    return each.groupBy("h").agg(F.count("*").alias("n"), *(F.coalesce(F.bit_xor(F.when(word == i, bit)), F.lit(0)).alias(c) for i, c in enumerate(PARITIES)))
 
 
-PARITIES = [f"p{i}" for i in range(WORDS)]
+def split_lines(documents: DataFrame) -> DataFrame:
+    """doc, doc_id, line_no, line (normalised), n_chars, h (its class) and h2 (a second hash); blank lines are left out."""
+    text = text_of(documents)
+    each = F.posexplode(F.split(text, "\n", -1)).alias("line_no", "raw")
+    rows = documents.select(F.xxhash64(text).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), each)
+    line = rows.withColumn("line", F.lower(F.btrim("raw", F.lit(BLANK)))).drop("raw").filter("line != ''")
+    return line.withColumns({"n_chars": F.length("line").cast("long"), "h": F.xxhash64("line"), "h2": F.hash("line")})
 
 
-def parities(s: Column) -> list[Column]:
-    """The parities of WORDS parts of a set, which together are a finer bound."""
+def signatures(lines: DataFrame) -> DataFrame:
+    """Lines with their band keys."""
+    return banded(lines, shingles(F.col("line")), F.greatest(F.col("n_chars") - WIDTH + 1, F.lit(1)))
 
-    def part(i: int) -> Column:
-        return F.filter(s, lambda x: F.shiftright(x, 7).bitwiseAND(WORDS - 1) == i)
 
-    return [parity(part(i)).alias(c) for i, c in enumerate(PARITIES)]
+def _may_link(percent: int) -> Column:
+    """Whether sizes and parities, one set's and the other's with b_ before, allow the similarity. Never false for links."""
+    a, b = F.col("n"), F.col("b_n")
+    flipped = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"b_{c}"))) for c in PARITIES), F.lit(0))
+    return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (flipped * (100 + percent) <= (a + b) * (100 - percent))
 
 
-def split_lines(documents: DataFrame) -> DataFrame:
-    """doc, doc_id, line_no, line (normalised) and h, its class; blank lines are left out."""
-    text = text_of(documents)
-    rows = documents.select(F.xxhash64("doc_id", text).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("line_no", "raw"))
-    line = rows.withColumn("line", F.lower(F.trim("raw"))).drop("raw").filter("line != ''")
-    return line.withColumn("h", F.xxhash64("line"))
+def _hold(df: DataFrame) -> DataFrame:
+    """Broadcasts a staged table of at most HELD rows of numbers."""
+    return F.broadcast(df) if df.count() <= HELD else df
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """Each line with n (shingles), its parity and its band keys."""
-    own = ("doc", "doc_id", "line_no", "n_chars", "h")
-    signed = lines.select(*own[:3], F.length("line").cast("long").alias("n_chars"), "h", shingles(F.col("line")).alias("s"))
-    signed = signed.select(*own, F.size("s").alias("n"), parity(F.col("s")).alias("p"), F.sort_array(F.concat("s", F.array(*map(F.lit, EDGES)))).alias("m"))
-    signed = signed.select(*own, "n", "p", least(F.col("m")).alias("t"))
-    return signed.select(*own, "n", "p", bands(F.col("t"), F.col("n")).alias("keys"))
-
-
-def _may_link(n: str, p: list[str], other: list[str], percent: int) -> Column:
-    """Whether sizes and parities allow the similarity; n and other: the other set's columns. Never false for similar sets."""
-    a, b = F.col("n"), F.col(n)
-    flipped = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(y))) for x, y in zip(p, other)), F.lit(0))
-    return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (flipped * (100 + percent) <= (a + b) * (100 - percent))
+def class_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """h and line of the wanted classes."""
+    return lines.select("h", "line").join(_hold(wanted), "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose lines' sets are similar enough; texts: h and line."""
-    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b")
-    sets = F.array(F.struct(shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y")))
+    left = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
+    right = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
+    both = pairs.join(left, "a").join(right, "b")
+    sets = F.array(F.struct(F.array_distinct(shingles(F.col("x"))).alias("x"), F.array_distinct(shingles(F.col("y"))).alias("y")))
     similar = F.exists(sets, lambda s: F.size(F.array_intersect(s.x, s.y)) * (100 + percent) >= (F.size(s.x) + F.size(s.y)) * percent)
     return both.filter(similar).select("a", "b")
 
 
-def class_lines(documents: DataFrame, ends: DataFrame, classes: DataFrame) -> DataFrame:
-    """h and line of the classes in ends, read again from their first lines."""
-    wanted = staged(ends.join(classes, "h").select("h", "first.doc", "first.line_no"))
-    hold = F.broadcast if wanted.count() <= HELD else lambda x: x
-    text = text_of(documents)
-    found = documents.select(F.xxhash64("doc_id", text).alias("doc"), text.alias("text")).join(hold(wanted.select("doc").distinct()), "doc", "left_semi")
-    found = found.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw")).join(hold(wanted), ["doc", "line_no"])
-    return found.select("h", F.lower(F.trim("raw")).alias("line")).dropDuplicates(["h"])
+def _pairs(*pairs: DataFrame) -> DataFrame:
+    each = [p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for p in pairs]
+    return reduce(DataFrame.unionByName, each).distinct()
 
 
-def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc, doc_id, line_no, n_chars, kept_doc_id, kept_line_no, keep of every line that isn't blank."""
-    lines = staged(signatures(split_lines(documents)))
-    first = F.min(F.struct("doc_id", "line_no", "doc")).alias("first")
-    classes = staged(lines.groupBy("h").agg(first, *(F.first(c).alias(c) for c in ("n", "p", "keys"))))
-    postings = classes.select("h", "n", "p", F.explode("keys").alias("key"))
-    bucket = Window.partitionBy("key")
-    for i, rank in enumerate((F.lit(0), F.col("key"))):
-        postings = postings.withColumn(f"lead{i}", F.min(F.struct(F.xxhash64("h", rank).alias("r"), "h", "n", "p")).over(bucket))
-    near = [F.when((F.col("h") != F.col(f"lead{i}.h")) & _may_link(f"lead{i}.n", ["p"], [f"lead{i}.p"], percent), F.col(f"lead{i}.h")).alias(f"h{i}") for i in range(2)]
-    postings = staged(postings.withColumn("many", F.count("*").over(bucket)).filter("many > 1").select("key", "h", "n", *near))
-    pairs = [postings.filter(F.col(f"h{i}").isNotNull()).select(F.least("h", f"h{i}").alias("a"), F.greatest("h", f"h{i}").alias("b")) for i in range(2)]
-    pairs = staged(reduce(DataFrame.unionByName, pairs).distinct())
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    links = staged(verified(pairs, staged(class_lines(documents, ends, classes)), percent))
-    links = across(postings, links, documents, classes, percent)
-    roots = staged(components(links))
-    linked = classes.join(roots, classes["h"] == roots["node"]).select("h", "first", "root")
-    kept = linked.join(linked.groupBy("root").agg(F.min("first").alias("kept")), "root").select("h", "kept")
-    named = classes.select("h", "first").join(kept, "h", "left").select("h", F.coalesce("kept", "first").alias("kept"))
-    out = lines.select("doc", "doc_id", "line_no", "n_chars", "h").join(named, "h")
-    keep = (F.col("kept.doc") == F.col("doc")) & (F.col("kept.line_no") == F.col("line_no"))
-    return out.select("doc", "doc_id", "line_no", "n_chars", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.line_no").alias("kept_line_no"), keep.alias("keep"))
-
-
-def rooted(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """postings with the root of each class's component, of the bands that hold several components."""
-    own = staged(postings.join(roots, F.col("h") == F.col("node"), "left").withColumn("root", F.coalesce("root", "h")).drop("node"))
-    many = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    return staged(own.join(many, "key", "left_semi"))
-
-
-def across(postings: DataFrame, links: DataFrame, documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """links with those between components, from bands that hold several components.
-
-    First each such band's lines meet one leader again, which joins most of a group of near copies; then all pairs whose
-    components still differ are compared.
+def line_links(lines: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) between classes of staged lines, enough of them to join every component."""
+    keyed = lines.select("h", F.explode("keys").alias("key")).filter("key is not null")
+    shared = keyed.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.min(F.col("h").bitwiseXOR(F.col("key"))).alias("alt"))
+    shared = staged(shared.filter("lo < hi").select("key", "lo", F.col("alt").bitwiseXOR(F.col("key")).alias("any")))
+    postings = staged(keyed.join(_hold(shared), "key").distinct())
+    unstage(shared)
+    texts = staged(class_lines(lines, staged(postings.select("h").distinct())))
+    sized = staged(with_parities(texts))
+    pairs = _pairs(*(postings.filter(f"h != {x}").select(F.col("h").alias("a"), F.col(x).alias("b")) for x in ("lo", "any")))
+    left = sized.withColumnRenamed("h", "a")
+    right = sized.select(F.col("h").alias("b"), *(F.col(c).alias(f"b_{c}") for c in ("n", *PARITIES)))
+    pairs = pairs.join(left, "a").join(right, "b").filter(_may_link(percent)).select("a", "b")
+    links = staged(verified(pairs, texts, percent))
+    return across(postings.select("key", "h"), links, texts, sized, percent)
+
+
+def across(postings: DataFrame, links: DataFrame, texts: DataFrame, sized: DataFrame, percent: int) -> DataFrame:
+    """links with those between components, from bands that hold several of them.
+
+    Each such band goes to the least (by hash) of its lines, and a line's bands that go to the same one stay together in one
+    row. Lines meet there: first all with that one, which joins most of a group, then all pairs whose components differ.
     """
-    own = rooted(postings.select("key", "h", "n"), components(links))
-    texts = class_lines(documents, own.select("h").distinct(), classes).select("h", "line", shingles(F.col("line")).alias("s"))
-    texts = staged(texts.select("h", "line", *parities(F.col("s"))))
-    own = own.join(texts.select("h", *PARITIES), "h")
-    theirs = [f"b_{c}" for c in PARITIES]
-    other = [F.col("root").alias("other"), F.col("h").alias("b"), F.col("n").alias("b_n"), *(F.col(c).alias(t) for c, t in zip(PARITIES, theirs))]
+    rooted = postings.join(components(links), F.col("h") == F.col("node"), "left").select("key", "h", F.coalesce("root", "h").alias("root"))
+    bounds = (F.min("root").alias("x"), F.max("root").alias("y"), F.min(F.xxhash64("h")).alias("at"))
+    many = rooted.groupBy("key").agg(*bounds).filter("x < y").select("key", "at")
+    own = staged(rooted.join(many, "key").groupBy("at", "h").agg(F.collect_list("key").alias("own")).join(sized, "h"))
 
-    def met(right: DataFrame, apart: Column) -> DataFrame:
-        pairs = own.join(right, "key").filter(apart & _may_link("b_n", PARITIES, theirs, percent))
-        return staged(pairs.select(F.least("h", "b").alias("a"), F.greatest("h", "b").alias("b")).distinct())
+    def met(named: DataFrame, others: DataFrame, apart: Column) -> DataFrame:
+        others = others.select("at", F.col("h").alias("b"), F.col("root").alias("other"), *(F.col(c).alias(f"b_{c}") for c in ("own", "n", *PARITIES)))
+        found = named.join(others, "at").filter(apart & _may_link(percent) & F.arrays_overlap("own", "b_own"))
+        return _pairs(found.select(F.col("h").alias("a"), "b"))
 
-    leader = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("h", "key", F.lit(1)).alias("r"), "root", "h", "n", *PARITIES)).alias("x")).select("key", "x.*")
-    links = links.unionByName(staged(verified(met(leader.select("key", *other), F.col("root") != F.col("other")), texts, percent)))
-    own = rooted(own.drop("root"), components(links))
-    return links.unionByName(staged(verified(met(own.select("key", *other), F.col("root") < F.col("other")), texts, percent)))
+    def named(links: DataFrame) -> DataFrame:
+        return own.join(components(links), F.col("h") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "h"))
+
+    now = named(links)
+    central = now.filter(F.xxhash64("h") == F.col("at"))
+    links = links.unionByName(staged(verified(met(now, central, F.col("root") != F.col("other")), texts, percent)))
+    now = named(links)
+    return links.unionByName(staged(verified(met(now, now, F.col("root") < F.col("other")), texts, percent)))
+
+
+def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc, doc_id, line_no, n_chars, kept_doc_id, kept_line_no, keep of every line that isn't blank."""
+    lines = staged(signatures(split_lines(documents)))
+    roots = staged(components(line_links(lines, percent)))
+    classes = lines.groupBy("h").agg(F.count("*").alias("many"), F.min("h2").alias("x"), F.max("h2").alias("y")).filter("x = y")
+    classes = staged(classes.join(roots, F.col("h") == F.col("node"), "left").filter("root is not null or many > 1").select("h", "root"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "doc")
+    first = lines.select("h", place.alias("first")).join(_hold(classes), "h").groupBy("h", "root").agg(F.min("first").alias("first"))
+    first = staged(first)
+    least = first.filter("root is not null").groupBy("root").agg(F.min("first").alias("kept"))
+    kept = staged(first.join(least, "root", "left").select("h", F.coalesce("kept", "first").alias("kept")))
+    out = lines.select("doc", "doc_id", "line_no", "n_chars", "h").join(_hold(kept), "h", "left")
+    own = (F.col("kept.doc") == F.col("doc")) & F.col("kept.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("kept.line_no") == F.col("line_no"))
+    ids = F.when(F.col("kept").isNull(), F.col("doc_id")).otherwise(F.col("kept.doc_id"))
+    numbers = F.coalesce("kept.line_no", "line_no")
+    return out.select("doc", "doc_id", "line_no", "n_chars", ids.alias("kept_doc_id"), numbers.alias("kept_line_no"), (F.col("kept").isNull() | own).alias("keep"))
 
 
 def without_repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """documents without the lines that don't stay; those that lose all their lines go, blank documents stay.
 
-    n_chars follows the text where there is such a column.
+    n_chars follows the text where there is such a column. All columns are kept, whatever their names.
     """
-    gone = line_classes(documents.select("doc_id", "text"), percent).filter("not keep").groupBy("doc").agg(F.collect_set("line_no").alias("_gone"))
-    keyed = documents.withColumn("_doc", F.xxhash64("doc_id", text_of(documents)))
-    out = keyed.join(gone, F.col("_doc") == F.col("doc"), "left").drop("doc", "_doc")
-    left = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    out = out.withColumn("text", text).filter(F.col("_gone").isNull() | (F.trim("text") != ""))
+    ident, doc, gone = fresh(documents, "ident", "doc", "gone")
+    out = line_classes(documents.select("doc_id", "text"), percent).filter("not keep")
+    out = out.groupBy(F.col("doc_id").alias(ident), F.col("doc").alias(doc)).agg(F.collect_set("line_no").alias(gone))
+    same = documents["doc_id"].cast("long").eqNullSafe(out[ident]) & (F.xxhash64(text_of(documents)) == out[doc])
+    out = documents.join(out, same, "left")
+    left = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(gone, i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    out = out.withColumn("text", text).filter(F.col(gone).isNull() | (F.btrim("text", F.lit(BLANK + "\n")) != ""))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out.select(*documents.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from taxalith.llm.common import arrow_schema, columns, crc_mod, staged, table, text_of, unstage
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, met, part_bits, planes, requests, totals_of, unplanes
 
-FOLDS, BATCH_CHARS, ROUNDS, STEP, FLOOR = 10, 4_000_000, 60, 8, -12.0
+FOLDS, BATCH_CHARS, ROUNDS, STEP, FLOOR = 10, 2_500_000, 60, 8, -12.0
 END = np.uint64(0)
 BATCHES = "batch long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, words binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -104,7 +104,6 @@ def test_packing_is_whole_and_gapless(spark, odd):
 
     rows = packing.packed(odd).collect()
     plain = Tokenizer.from_file(packing.tokenizer_path())
-    plain.encode_special_tokens = True
     n = {i: len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(TEXTS)}
     own = collections.defaultdict(list)
     for r in rows:
@@ -136,8 +135,8 @@ def test_packing_plan_is_near_the_bound():
 
 def test_encoder_equals_the_tokenizer():
     e = packing.Encoder(packing.tokenizer_path())
-    e.probe = 0
-    for t in ["it's a test, yes.\nAnd more", "a  b", " x\n\n y", "ünï. cödé, 12 3.4", "a　b c", "<|endoftext|> x", "end. ", "don't, won't."]:
+    e.fast and [e.encode(f"probe{i}") for i in range(packing.PROBE)]
+    for t in ["see <|endoftext|> now", "<|endoftext|><|endoftext|>", "it's a test, yes.\nAnd more", "a  b", " x\n\n y", "ünï. cödé, 12 3.4", "a　b c", "<|endoftext|> x", "end. ", "don't, won't."]:
         assert e([t])[0] == np.asarray(e.defined(t), "<u4").tobytes(), t
 
 
@@ -169,17 +168,21 @@ def test_mixing_meets_targets(spark, odd):
     assert mixing.fill([10, 100, 100], [5, 2, 1], 315, 2) == [20, 196.66666666666666, 98.33333333333333]
     rng = random.Random(7)
     df = docs(spark, [" ".join(["w"] * rng.randrange(1, 60)) for _ in range(400)], ["a", "b", None, "c", "a"])
-    rows = mixing.planned(df).collect()
+    plan = lambda d: mixing.planned(x := mixing.sized(d), x)
+    rows = plan(df.drop("size")).collect()
     assert rows[0].asDict()["size"] is not None and len(rows) == 400
     for source in {r.source for r in rows}:
         own = [r for r in rows if r.source == source]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 1 and all(0 <= r.taken <= 2 * r["size"] for r in own)
         assert sum(r["size"] for r in own) == own[0].source_size
     assert abs(sum({r.source: r.target for r in rows}.values()) - 1.5 * sum(r["size"] for r in rows)) < 1e-6
-    assert sorted(map(str, rows)) == sorted(map(str, mixing.planned(df.repartition(7)).collect()))
+    assert sorted(map(str, rows)) == sorted(map(str, plan(df.drop("size").repartition(7)).collect()))
     out = mixing.mixed(df)
     assert out.columns == df.columns and out.agg(F.sum(F.size(F.split("text", " ")))).first()[0] == sum(r.taken for r in rows)
-    assert mixing.planned(odd).count() == len(TEXTS) + 2 and mixing.planned(odd.limit(0)).count() == 0
+    assert plan(odd.drop("size")).count() == len(TEXTS) + 2 and mixing.mixed(odd.limit(0)).count() == 0
+    clash = df.withColumns({c: F.lit("mine") for c in ("size", "target", "taken", "place", "row", "copy", "source_size")})
+    got = mixing.mixed(clash)
+    assert got.columns == clash.columns and {r["size"] for r in got.collect()} == {r["row"] for r in got.collect()} == {"mine"}
 
 
 def test_lm_equals_counts(spark, odd):
@@ -274,7 +277,7 @@ def test_line_shingles_hold_every_character(spark):
     commits = ["commit 0123456789ab" + x * 4 for x in ("cdef012", "9876543")]
     assert kept_lines(spark, urls) == [True, True] and kept_lines(spark, commits) == [True, True]
     sets = spark.createDataFrame([("a\U0001f600bcdefghijklé",), ("short",), ("é" * 12,), ("ab" * 40,)], "line string").select(lines.shingles(F.col("line")).alias("s"))
-    assert [len(r.s) for r in sets.collect()] == [3, 1, 1, 2]
+    assert [len(set(r.s)) for r in sets.collect()] == [3, 1, 1, 2]
 
 
 def test_line_shingles_are_one_definition(spark):
