@@ -8,7 +8,9 @@ Its score is the share of the template's rare words found at agreeing places. Be
 file by themselves wherever their words stand consecutively.
 
 Words are runs of ASCII letters and digits and non-ASCII characters, after lower-casing A-Z. Null and empty texts hold no
-words: counts 0, places null, labels empty, score 0. Very long texts are scanned whole.
+words: counts 0, places null, labels empty, score 0. Very long texts are scanned whole. Every row is scanned by itself, so
+repeated rows and null ids are rows like others; of equally good places of a template the first counts. An empty table gives
+no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +41,20 @@ TEMPLATES = {
     "unlicense": ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software", ("free and unencumbered software", "public domain")),
     "copyright-notice": ("Copyright (c) the authors. All rights reserved.", ("copyright", "all rights reserved")),
 }
+#: One-line notices that name a licence, and the phrases that must stand in a match. Fixed values. What stands before the
+#: stroke is the label, which a notice may share with the licence's own text.
+NOTICES = {
+    "mit/line": ("Released under the MIT License.", ("mit license",)),
+    "apache-2.0/line": ("Licensed under the Apache License, Version 2.0.", ("apache license version 2 0",)),
+    "gpl-3.0/line": ("This work is licensed under the GNU General Public License, version 3.", ("gnu general public license version 3",)),
+    "gpl-2.0/line": ("This work is licensed under the GNU General Public License, version 2.", ("gnu general public license version 2",)),
+    "lgpl-notice/line": ("Distributed under the GNU Lesser General Public License.", ("gnu lesser general public license",)),
+    "bsd/line": ("Distributed under the BSD License.", ("bsd license",)),
+    "mpl-2.0/line": ("Licensed under the Mozilla Public License, version 2.0.", ("mozilla public license",)),
+    "cc-by-nc/line": ("Licensed under CC BY-NC 4.0.", ("cc by nc",)),
+    "cc-by-sa/line": ("Licensed under CC BY-SA 4.0.", ("cc by sa",)),
+    "cc-by-nd/line": ("Licensed under CC BY-ND 4.0.", ("cc by nd",)),
+}
 RAREST, SLACK, LEAST_SHARE = 24, 3, 0.6
 
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -58,7 +74,7 @@ class Index(NamedTuple):
     phrases: list[tuple[list[bytes], str]]
 
 
-def build(templates=TEMPLATES, phrases=BASE) -> Index:
+def build(templates=TEMPLATES | NOTICES, phrases=BASE) -> Index:
     """Words that stand in over a third of the templates are left out of the postings: they tell nothing."""
     words = {name: words_of(text) for name, (text, _) in templates.items()}
     spread = Counter(w for ws in words.values() for w in set(ws))
@@ -125,7 +141,7 @@ def scan(text: str | None, index: Index) -> Found:
                     if all(places(words, key, *span) for key in index.keys[name]):
                         best[name] = share, -begin
         matches = sorted((name, max(0, -at), min(len(words), -at + index.size[name]), share) for name, (share, at) in best.items())
-    labels = sorted(base | {m[0] for m in matches})
+    labels = sorted(base | {m[0].split("/")[0] for m in matches})
     score = max([0.5 * bool(base), *(m[3] for m in matches)])
     return Found(len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(base), labels, float(score), matches)
 
@@ -133,7 +149,7 @@ def scan(text: str | None, index: Index) -> Found:
 SCANS = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, matches array<struct<license: string, first: long, behind: long, score: double>>"
 
 
-def license_scan(df: DataFrame, text: str = "text", key: str = "doc_id", templates=TEMPLATES, phrases=BASE) -> DataFrame:
+def license_scan(df: DataFrame, text: str = "text", key: str = "doc_id", templates=TEMPLATES | NOTICES, phrases=BASE) -> DataFrame:
     """One row per input row with its labels, score and the aligned stretches."""
 
     def rows(batches):
