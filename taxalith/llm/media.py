@@ -3,12 +3,15 @@
 ``mux`` writes a small audio file, ``parse`` reads any Matroska bytes: variable-length EBML elements (also of unknown
 size), clusters, SimpleBlocks and BlockGroups, all four lacing modes, and cues. ``packet_table`` and ``cue_table`` turn a
 binary column into one row per frame or cue with timestamps, tracks and byte ranges. Damaged or truncated files yield the
-packets before the damage and ``complete`` False; null or empty files yield no packets.
+packets before the damage and ``complete`` False, and so do numbers that no long or no finite number holds; null or empty
+files yield no packets. Every row is read by itself: repeated rows and null ids are rows like others, equal files give equal
+rows, very long texts are stored whole, an empty table gives no rows, other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,6 +37,7 @@ CUES, CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
 SAMPLE_RATE, FRAME, FRAMES_PER_BLOCK, BLOCKS_PER_CLUSTER = 8000, 1024, 8, 16
 UNIT = 64
+GROUP = 256
 
 
 class Packet(NamedTuple):
@@ -176,12 +180,22 @@ def children(data: bytes, at: int, end: int, stop: frozenset[int] = frozenset())
         at = last
 
 
+def fits(value: int) -> int:
+    """The value, which a long must hold."""
+    if not -(1 << 63) <= value < 1 << 63:
+        raise Damaged(f"{value} is too large")
+    return value
+
+
 def uint(data: bytes, at: int, end: int) -> int:
-    return int.from_bytes(data[at:end], "big")
+    return fits(int.from_bytes(data[at:end], "big"))
 
 
 def real(data: bytes, at: int, end: int) -> float:
-    return 0.0 if at == end else struct.unpack(">d" if end - at == 8 else ">f", data[at:end])[0]
+    value = 0.0 if at == end else struct.unpack(">d" if end - at == 8 else ">f", data[at:end])[0]
+    if not math.isfinite(value):
+        raise Damaged(f"no number at {at}")
+    return value
 
 
 def frame_sizes(data: bytes, at: int, end: int, lacing: int) -> tuple[list[int], int]:
@@ -228,7 +242,7 @@ def parse(data: bytes | None) -> Parsed:
         sizes, at = frame_sizes(data, at + 3, end, lacing)
         step = tracks.get(track, {}).get("default_duration", 0)
         for i, size in enumerate(sizes):
-            packets.append(Packet(track, (base + relative) * scale + i * step, bool(flags & 0x80) if simple else key, lacing, at, size))
+            packets.append(Packet(track, fits((base + relative) * scale + i * step), bool(flags & 0x80) if simple else key, lacing, at, size))
             at += size
 
     try:
@@ -243,6 +257,7 @@ def parse(data: bytes | None) -> Parsed:
                             scale = uint(data, a, b)
                         elif k == DURATION:
                             duration = real(data, a, b)
+                    fits(round(duration * scale))
                 elif ident == TRACKS:
                     for _, a, b in children(data, at, end):
                         track = {"default_duration": 0}
@@ -285,11 +300,12 @@ def parse(data: bytes | None) -> Parsed:
                             elif k == CUE_TRACK_POSITIONS:
                                 found = {x: uint(data, e, f) for x, e, f in children(data, c, d)}
                                 places.append((found.get(CUE_TRACK, 0), origin + found.get(CUE_CLUSTER_POSITION, 0)))
-                        cues.extend(Cue(time * scale, track, place) for track, place in places)
+                        cues.extend(Cue(fits(time * scale), track, fits(place)) for track, place in places)
         complete = bool(data)
     except (Damaged, struct.error):
         complete = False
-    return Parsed(tracks, packets, cues, clusters, blocks, round(duration * scale), complete)
+    length = duration * scale
+    return Parsed(tracks, packets, cues, clusters, blocks, round(length) if abs(length) < 1 << 63 else 0, complete)
 
 
 def samples(data: bytes, parsed: Parsed, track: int = 1) -> bytes:
@@ -304,13 +320,16 @@ _KINDS = {"bigint": "long"}
 
 
 def _rows_of(df: DataFrame, media: str, key: str, fields: str, part: str) -> DataFrame:
-    schema = f"`{key}` {_KINDS.get(kind := df.schema[key].dataType.simpleString(), kind)}, n long, {fields}"
+    """Fields called like the key column get an underscore before their name."""
+    clean = lambda f: f"_{f}" if f.split()[0].lower() == key.lower() else f
+    fields = ", ".join(map(clean, ("n long", *fields.split(", "))))
+    schema = f"`{key}` {_KINDS.get(kind := df.schema[key].dataType.simpleString(), kind)}, {fields}"
     names = [f.split()[0] for f in fields.split(", ")]
 
     def rows(batches):
         for keys, files in columns(batches, key, media):
             out = [(k, i, *row) for k, data in zip(keys, files) for i, row in enumerate(getattr(parse(data), part))]
-            yield pa.RecordBatch.from_pydict({n: [r[j] for r in out] for j, n in enumerate((key, "n", *names))}, schema=arrow_schema(schema))
+            yield pa.RecordBatch.from_pydict({n: [r[j] for r in out] for j, n in enumerate((key, *names))}, schema=arrow_schema(schema))
 
     return df.select(key, media).mapInArrow(rows, schema)
 
@@ -356,22 +375,37 @@ def as_media(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     return df.select(F.col(key).cast("long").alias("doc_id"), text_of(df, text).alias("text")).mapInArrow(rows, MEDIA)
 
 
+def _features(keys, sizes, files) -> pa.RecordBatch:
+    out = {n.split()[0]: [] for n in FEATURES.split(", ")}
+    for key, n, data in zip(keys, sizes, files):
+        parsed = parse(data)
+        stored = samples(data or b"", parsed)
+        row = (key, n, len(stored), hashlib.sha256(stored).hexdigest(), zlib.crc32(stored[-UNIT:]), len(data or b""))
+        for name, value in zip(out, (*row, hashlib.sha256(data or b"").hexdigest(), feature_of(stored, parsed), parsed.complete)):
+            out[name].append(value)
+    return pa.RecordBatch.from_pydict(out, schema=arrow_schema(FEATURES))
+
+
 def media_features(df: DataFrame) -> DataFrame:
     """Reads stored files back (doc_id, n_bytes, media) and returns digests of payload and file with a feature string."""
 
     def rows(batches):
-        for keys, sizes, files in columns(batches, "doc_id", "n_bytes", "media"):
-            out = {n.split()[0]: [] for n in FEATURES.split(", ")}
-            for key, n, data in zip(keys, sizes, files):
-                parsed = parse(data)
-                stored = samples(data, parsed)
-                for name, value in (("doc_id", key), ("n_bytes", n), ("payload_bytes", len(stored)), ("payload_sha256", hashlib.sha256(stored).hexdigest()), ("tail_crc32", zlib.crc32(stored[-UNIT:])), ("media_bytes", len(data)), ("media_sha256", hashlib.sha256(data).hexdigest()), ("feature", feature_of(stored, parsed)), ("complete", parsed.complete)):
-                    out[name].append(value)
-            yield pa.RecordBatch.from_pydict(out, schema=arrow_schema(FEATURES))
+        for batch in columns(batches, "doc_id", "n_bytes", "media"):
+            yield _features(*batch)
 
     return df.select("doc_id", "n_bytes", "media").mapInArrow(rows, FEATURES)
 
 
 def document_media(df: DataFrame) -> DataFrame:
-    """Every document stored as media and read back; one row per input row."""
-    return media_features(as_media(df))
+    """Every document stored as media and read back; one row per input row.
+
+    The same as ``media_features(as_media(df))``, but only a few files are held at a time, and none leaves its worker.
+    """
+
+    def rows(batches):
+        for keys, texts in columns(batches, "doc_id", "text"):
+            for i in range(0, len(keys), GROUP):
+                payloads = [payload_of(t) for t in texts[i : i + GROUP]]
+                yield _features(keys[i : i + GROUP], [n for _, n in payloads], (mux(p) for p, _ in payloads))
+
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(df).alias("text")).mapInArrow(rows, FEATURES)

@@ -3,6 +3,7 @@ import hashlib
 import itertools
 import math
 import random
+import struct
 import zlib
 
 import numpy as np
@@ -58,6 +59,20 @@ def test_unknown_sizes_and_block_groups():
     assert got.complete and got.clusters == 2 and [(p.track, p.timestamp_ns, p.keyframe, p.length) for p in got.packets[:2]] == [(2, 8_000_000, False, 2), (2, 8_000_000, False, 3)]
 
 
+def test_damaged_media_numbers(spark):
+    stored = media.mux(b"x" * 4096)
+    at = stored.index(bytes([0x44, 0x89])) + 3
+    for odd in ("nan", "inf", "1e300"):
+        got = media.parse(stored[:at] + struct.pack(">d", float(odd)) + stored[at + 8 :])
+        assert not got.complete and got.duration_ns == 0
+    cluster = media.element(media.CLUSTER, media.unsigned(media.CLUSTER_TIMESTAMP, 1) + media.element(media.SIMPLE_BLOCK, media.block(1, 0, [memoryview(b"ab")], 0)))
+    late = media.element(media.CLUSTER, media.unsigned(media.CLUSTER_TIMESTAMP, (1 << 64) - 1) + media.element(media.SIMPLE_BLOCK, media.block(1, 0, [memoryview(b"ab")], 0)))
+    df = spark.createDataFrame([(1, bytearray(media.element(media.SEGMENT, cluster + late)))], "n long, media binary")
+    rows = media.packet_table(df, key="n").collect()
+    assert [(r.n, r._n, r.timestamp_ns) for r in rows] == [(1, 0, 1_000_000)]
+    assert media.media_features(media.as_media(docs(spark, TEXTS))).exceptAll(media.document_media(docs(spark, TEXTS))).count() == 0
+
+
 def test_toxicity_learns_stems():
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randrange(3, 8)))
@@ -212,6 +227,14 @@ def test_license_scan(spark, odd):
     assert licenses.license_scan(odd).count() == len(TEXTS) + 2
 
 
+def test_license_lines_fire():
+    index = licenses.build()
+    want = {"Released under the MIT License.": ["mit"], "Licensed under the Apache License, Version 2.0.": ["apache-2.0"], "This work is licensed under the GNU General Public License, version 3.": ["gpl", "gpl-3.0"], "Licensed under CC BY-NC 4.0.": ["cc-by", "cc-by-nc"], "an apache version of the license 2 0": [], "released under the sea": [], "cc by hand": ["cc-by"]}
+    for text, labels in want.items():
+        for filler in ("", "some other words here\n" * 50):
+            assert licenses.scan(f"{filler}{text}\nmore", index).labels == labels, text
+
+
 def test_license_scan_of_many_notices():
     index = licenses.build()
     names = sorted(licenses.TEMPLATES)
