@@ -171,6 +171,25 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_top_k_phases(spark):
+    """The keyed way equals the broadcast one, scores beyond 2**53 are exact, and phase 2 collects what its cutoff says."""
+    rng = np.random.default_rng(16)
+    big = rng.integers(-(1 << 29), 1 << 29, size=(120, 3)) / 256
+    v = rng.normal(size=(2300, 8)).round(2)
+    for x, base in ((v, 0), (big, 10_000)):
+        df = spark.createDataFrame([(i + base, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+        ints = [[math.floor(y * 256) for y in r] for r in x.tolist()]
+        score = lambda a, b: sum(p * q for p, q in zip(ints[a], ints[b]))
+        want = {(q + base, k + 1, i + base, -s) for q in range(0, len(x), 50) for k, (s, i) in enumerate(sorted((-score(q, i), i) for i in range(len(x)) if i != q)[:5])}
+        for sent in (topk.SENT, 0):
+            assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, sent=sent).collect()} == want
+        fifth = {q: s for q, k, _, s in want if k == 5}
+        least = sum(2 * score(q, i) >= 0 and any(2 * sum(ints[q][j] * ints[i][j] for j in part) >= fifth[q + base] for part in (range(len(ints[0]) // 2), range(len(ints[0]) // 2, len(ints[0])))) for q in range(0, len(x), 50) for i in range(len(x)) if i != q)
+        entries = topk.phases(df)[0]
+        got = entries.select("q_block", "q_place", "block", "place").distinct().count()
+        assert least <= got < len(x) * len(range(0, len(x), 50)) * 0.6
+
+
 def test_top_k_of_few_components_and_negative_scores(spark):
     for dim in (1, 2, 3):
         rows = [(0, [1.0] * dim)] + [(i, [-float(1 + (i * (j + 3)) % 7) for j in range(dim)]) for i in range(1, 12)]
