@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -102,7 +103,9 @@ def trained_in_task(rows: DataFrame, train: Callable[[list[str], list[int]], tup
     def one(batches):
         sample = sorted(row for batch in columns(batches, "doc_id", "text", "label") for row in zip(*batch))
         weights, *numbers = train([t for _, t, _ in sample], [x for _, _, x in sample])
+        del sample
         yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "numbers": [[float(x) for x in numbers]]}, schema=arrow_schema(schema))
+        release()
 
     got = rows.coalesce(1).mapInArrow(one, schema).first()
     if got is None:  # no labelled row
@@ -137,11 +140,19 @@ def bounded(words: dict, limit: int) -> None:
         words.clear()
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a worker that has done its task stays for a while, beside others."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def columns(batches: Iterator, *names: str) -> Iterator[tuple]:
     """Python lists of the named columns, one tuple per Arrow batch."""
     for batch in batches:
         if batch.num_rows:
             yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+    release()
 
 
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}

@@ -34,7 +34,7 @@ from taxalith.llm.common import arrow_schema, bounded, columns, fresh, staged, t
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, part_bits, planes, requests, totals_of, unplanes
 from taxalith.llm.graph import components
 
-WIDTH, PERCENT, STARS, CACHE, HELD = 5, 80, 2, 500_000, 1_000_000
+WIDTH, PERCENT, STARS, CACHE, HELD = 5, 80, 2, 200_000, 1_000_000
 MIX, FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, columns, crc_mod, staged, table, text_of, unstage
+from taxalith.llm.common import arrow_schema, columns, crc_mod, release, staged, table, text_of, unstage
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, met, part_bits, planes, requests, totals_of, unplanes
 
 FOLDS, BATCH_CHARS, ROUNDS, STEP, FLOOR = 10, 2_500_000, 60, 8, -12.0
@@ -120,6 +120,7 @@ def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Batch, list[bytes]
         at = batch.schema.get_field_index("replies")
         for i in range(batch.num_rows):
             yield Batch(batch, i), batch.column(at)[i].as_py() if at >= 0 else []  # the caller's batch goes before the next one comes
+    release()
 
 
 def buckets(context: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from taxalith.llm.common import arrow_schema, columns, staged, table, text_of
 
-CAPACITY, GROUPS, CACHE, END, PROBE = 2048, 24, 600_000, 0, 200
+CAPACITY, GROUPS, CACHE, END, PROBE = 2048, 24, 250_000, 0, 200
 SIGNS = (".", ",")
 #: Lengths over a capacity's fraction of these count as large; the plan with the fewest sequences is kept.
 LARGE = (4, 3, 2)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from taxalith.llm.common import arrow_schema, bounded, columns, crc_mod, labelled, table, text_of, trained_in_task
 
-BITS, SCALE, CACHE, SEED = 20, 10.0, 400_000, 11
+BITS, SCALE, CACHE, SEED = 20, 10.0, 200_000, 11
 SHIFT = np.uint64(64 - BITS)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SAME = zlib.crc32(b"=")

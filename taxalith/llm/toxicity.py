@@ -27,7 +27,7 @@ from taxalith.llm.common import arrow_schema, columns, crc_mod, labelled, table,
 
 BUCKETS, DIM, SMALLEST, LARGEST, WINDOW = 1 << 18, 8, 3, 6, 6
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-CACHE, GROUP = 400_000, 256
+CACHE, GROUP = 200_000, 256
 SEED, FOLD = 7, 25
 PRIME, MIX, SHIFT = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15), np.uint64(46)
 
@@ -67,6 +67,15 @@ def gram_table(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(ids).astype(np.int64), owner, np.bincount(owner, minlength=len(n))
 
 
+def grams_in_parts(words: list[str], size: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """gram_table of many words, part by part and in 32-bit numbers, which takes less room."""
+    parts = []
+    for i in range(0, len(words), size):
+        bucket, owner, n = gram_table(words[i : i + size])
+        parts.append((bucket.astype(np.int32), (owner + i).astype(np.int32), n.astype(np.int32)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
@@ -83,7 +92,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30,
         return Model(np.zeros(BUCKETS, np.float32), 0.0, float(np.log(p / (1 - p))))
     known: dict[str, int] = {}
     bags = [np.fromiter((known.setdefault(w, len(known)) for w in words_of(t)), np.int32) for t in texts]
-    bucket, owner, gram_n = gram_table(list(known))
+    bucket, owner, gram_n = grams_in_parts(list(known))
     known.clear()
     spread = np.bincount(np.concatenate([np.unique(b) for b in bags]), minlength=len(gram_n))
     used = np.flatnonzero(np.bincount(bucket, spread[owner], BUCKETS) >= np.clip(len(y) / 100, 5, 40))
