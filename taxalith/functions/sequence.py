@@ -50,3 +50,28 @@ def reference_end(pos: Column, cigar: Column) -> Column:
 def split_annotation(value: Column) -> Column:
     """Parts of a ``;``-separated annotation, trailing separators ignored."""
     return F.split(F.rtrim(value, F.lit(";")), ";")
+
+
+def part(seq: Column, start: Column, end: Column, strand: Column | None = None) -> Column:
+    """The 1-based, inclusive places start to end; on strand ``-`` their reverse complement."""
+    own = F.substring(seq, start, end - start + 1)
+    return own if strand is None else F.when(strand == "-", reverse_complement(own)).otherwise(own)
+
+
+def codons(seq: Column) -> Column:
+    """Triplets from the first letter on; what is left at the end doesn't count."""
+    many = F.floor(F.length(seq) / 3).cast("int")
+    return F.when(many > 0, F.transform(F.sequence(F.lit(0), many - 1), lambda i: F.substring(seq, i * 3 + 1, F.lit(3)))).otherwise(F.array().cast("array<string>"))
+
+
+def letters(seq: Column) -> Column:
+    return F.filter(F.split(seq, ""), lambda x: x != "")
+
+
+def low_quality(seq: Column, least: int = 0, most: int | None = None, gc: tuple[float, float] = (0.0, 100.0), unknown: float = 100.0) -> Column:
+    """Why a read is filtered: ``length``, ``gc`` or ``n`` (per cent of N), the first that holds; null if it stays."""
+    size = F.length(seq)
+    long = F.lit(False) if most is None else size > most
+    bad = F.when((size < least) | long, "length")
+    bad = bad.when(~gc_percent(seq).between(*gc), "gc")
+    return bad.when(F.try_divide(count_of(seq, "N") * 100.0, size) > unknown, "n")

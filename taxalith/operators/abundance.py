@@ -2,40 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def by_sample():
-    return Window.partitionBy("sample")
-
-
 def gene_counts(alignments: DataFrame) -> DataFrame:
     return alignments.groupBy("feature", "sample").agg(F.sum("reads").alias("reads"), F.sum("bases").alias("bases"), F.max("length").alias("length"))
 
 
+def with_totals(rows: DataFrame, sample: str = "sample", **sums) -> DataFrame:
+    """rows with each sample's totals, by a partial aggregation and a join: no task holds all rows of a sample."""
+    return rows.join(rows.groupBy(sample).agg(*(F.sum(value).alias(name) for name, value in sums.items())), sample)
+
+
 def tpm(counts: DataFrame) -> DataFrame:
     """Adds rpkm, coverage and tpm; features without length or samples without reads have 0."""
     rate = F.coalesce(F.try_divide(F.col("reads"), F.col("length")), F.lit(0.0))
-    out = counts.withColumns({"_rate": rate, "_total": F.sum("reads").over(by_sample())}).withColumn("_rates", F.sum("_rate").over(by_sample()))
-    return out.select("feature", "sample", "reads", "bases", "length", F.coalesce(F.try_divide(F.col("reads") * 1e9, F.col("length") * F.col("_total")), F.lit(0.0)).alias("rpkm"), F.coalesce(F.try_divide(F.col("bases"), F.col("length")), F.lit(0.0)).alias("coverage"), F.coalesce(F.try_divide(F.col("_rate") * 1e6, F.col("_rates")), F.lit(0.0)).alias("tpm"))
+    out = with_totals(counts, _total="reads", _rates=rate)
+    rpkm = F.try_divide(F.col("reads") * 1e9, F.col("length") * F.col("_total"))
+    shares = {"rpkm": rpkm, "coverage": F.try_divide(F.col("bases"), F.col("length")), "tpm": F.try_divide(rate * 1e6, F.col("_rates"))}
+    return out.select("feature", "sample", "reads", "bases", "length", *(F.coalesce(v, F.lit(0.0)).alias(k) for k, v in shares.items()))
 
 
 def share(counts: DataFrame) -> DataFrame:
     """Each feature's percentage of its sample's reads."""
-    return counts.select("feature", "sample", "reads", F.try_divide(F.col("reads") * 100.0, F.sum("reads").over(by_sample())).alias("percent"))
+    return with_totals(counts, _total="reads").select("feature", "sample", "reads", F.try_divide(F.col("reads") * 100.0, F.col("_total")).alias("percent"))
 
 
-def funcover(genes: DataFrame, taxa: list[str] = ()) -> DataFrame:
+def funcover(genes: DataFrame, taxa: list[str] = (), within: Column | None = None) -> DataFrame:
     """Function coverage of genes (fun array, sample, reads, bases, length): every function of a gene gets its full counts.
 
     copies counts genes with bases; tpm uses the mean length; a column distinct_<rank> counts taxa for each rank in taxa.
+    within: only genes for which it holds (those of a taxon, say) are counted, while the totals use all of them.
     """
-    each = genes.withColumn("fun", F.explode("fun"))
-    agg = each.groupBy("fun", "sample").agg(F.count(F.when(F.col("bases") > 0, 1)).alias("copies"), F.sum("length").alias("length"), F.sum("reads").alias("reads"), F.sum("bases").alias("bases"), *[F.count_distinct(t).alias(f"distinct_{t}") for t in taxa])
     totals = genes.groupBy("sample").agg(F.sum("reads").alias("_total"))
-    agg = agg.join(F.broadcast(totals), "sample").withColumn("_rate", F.coalesce(F.try_divide(F.col("reads"), F.try_divide(F.col("length"), F.col("copies"))), F.lit(0.0)))
-    return agg.select("fun", "sample", "copies", "length", "reads", "bases", *[f"distinct_{t}" for t in taxa], F.try_divide(F.col("reads") * 1e9, F.col("length") * F.col("_total")).alias("rpkm"), F.try_divide(F.col("bases"), F.col("length")).alias("coverage"), F.try_divide(F.col("_rate") * 1e6, F.sum("_rate").over(by_sample())).alias("tpm"))
+    each = (genes if within is None else genes.filter(within)).withColumn("fun", F.explode("fun"))
+    copies = F.count(F.when(F.col("bases") > 0, 1)).alias("copies")
+    sums = [F.sum(c).alias(c) for c in ("length", "reads", "bases")]
+    agg = each.groupBy("fun", "sample").agg(copies, *sums, *[F.count_distinct(t).alias(f"distinct_{t}") for t in taxa])
+    rate = F.coalesce(F.try_divide(F.col("reads"), F.try_divide(F.col("length"), F.col("copies"))), F.lit(0.0))
+    agg = with_totals(agg.join(totals, "sample"), _rates=rate)
+    own = ("fun", "sample", "copies", "length", "reads", "bases", *(f"distinct_{t}" for t in taxa))
+    rpkm = F.try_divide(F.col("reads") * 1e9, F.col("length") * F.col("_total"))
+    return agg.select(*own, rpkm.alias("rpkm"), F.try_divide(F.col("bases"), F.col("length")).alias("coverage"), F.try_divide(rate * 1e6, F.col("_rates")).alias("tpm"))
 
 
 def split_counts(genes: DataFrame) -> DataFrame:
@@ -48,12 +57,19 @@ def split_counts(genes: DataFrame) -> DataFrame:
 def copy_number(coverage: DataFrame, markers: list[str]) -> DataFrame:
     """Coverage over the sample's median coverage of the marker functions; null if a marker's coverage is 0 or none is there."""
     base = coverage.filter(F.col("fun").isin(*markers)).groupBy("sample").agg(F.when(F.min("coverage") > 0, F.median("coverage")).alias("base"))
-    return coverage.join(F.broadcast(base), "sample", "left").select("fun", "sample", F.try_divide("coverage", "base").alias("copy_number"))
+    return coverage.join(base, "sample", "left").select("fun", "sample", F.try_divide("coverage", "base").alias("copy_number"))
 
 
 def rollup_paths(members: DataFrame, ranks: list[str], sums: list[str]) -> DataFrame:
-    """Sums over every leading path of a lineage: rank, path and the sums."""
-    each = members.select(*sums, F.posexplode(F.array(*[F.concat_ws(";", *ranks[: i + 1]) for i in range(len(ranks))])).alias("depth", "path"))
+    """Sums over every leading path of a lineage: rank, path and the sums.
+
+    A null rank ends the lineage: a member counts at the ranks above its first gap, and one without a top rank not at all.
+    """
+    known = F.array(*ranks)
+    upto = F.array_position(F.transform(known, lambda x: x.isNull()), F.lit(True))
+    depth = F.when(upto > 0, upto - 1).otherwise(F.lit(len(ranks))).cast("int")
+    paths = F.when(depth > 0, F.transform(F.sequence(F.lit(1), depth), lambda i: F.array_join(F.slice(known, 1, i), ";")))
+    each = members.select(*sums, F.posexplode(paths).alias("depth", "path"))
     names = F.array(*[F.lit(r) for r in ranks])
     return each.groupBy("depth", "path").agg(*[F.sum(s).alias(s) for s in sums]).withColumn("rank", F.element_at(names, F.col("depth") + 1)).drop("depth")
 
@@ -63,13 +79,13 @@ def taxa_percent(counts: DataFrame, totals: DataFrame) -> DataFrame:
     own = counts.groupBy("taxon", "sample").agg(F.sum("reads").alias("reads"))
     mapped = own.groupBy("sample").agg(F.sum("reads").alias("mapped"))
     missing = totals.join(mapped, "sample", "left").select(F.lit("Unmapped").alias("taxon"), "sample", (F.col("total") - F.coalesce("mapped", F.lit(0))).alias("reads"))
-    return own.unionByName(missing).join(F.broadcast(totals), "sample").select("taxon", "sample", "reads", F.try_divide(F.col("reads") * 100.0, F.col("total")).alias("percent"))
+    return own.unionByName(missing).join(totals, "sample").select("taxon", "sample", "reads", F.try_divide(F.col("reads") * 100.0, F.col("total")).alias("percent"))
 
 
 def bin_abundance(contigs: DataFrame, totals: DataFrame) -> DataFrame:
     """Bins' reads, bases, length, coverage and coverage per million reads; contigs without a bin are ``No bin``."""
     own = contigs.groupBy(F.coalesce("bin", F.lit("No bin")).alias("bin"), "sample").agg(F.sum("reads").alias("reads"), F.sum("bases").alias("bases"), F.sum("length").alias("length"))
-    own = own.join(F.broadcast(totals), "sample").withColumn("coverage", F.try_divide("bases", "length"))
+    own = own.join(totals, "sample").withColumn("coverage", F.try_divide("bases", "length"))
     return own.select("bin", "sample", "reads", "bases", "length", F.try_divide(F.col("reads") * 100.0, F.col("total")).alias("percent"), "coverage", F.try_divide("coverage", F.col("total") / 1e6).alias("cpm"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxalith.params import DEFAULTS, Params
@@ -30,7 +30,9 @@ def consensus(members: DataFrame, ranks: list[str], of_rank: float | None = None
     A rank is accepted if its leader holds the shares of assigned and all members and leads strictly. ``stop_at_failure``
     (bins) ends at the first rank that isn't accepted. ``denominator='any'`` divides by members assigned at any rank.
     """
-    of_rank, of_all, least = of_rank or p.consensus_of_rank, of_all or p.consensus_of_all, least or p.consensus_genes
+    of_rank = p.consensus_of_rank if of_rank is None else of_rank
+    of_all = p.consensus_of_all if of_all is None else of_all
+    least = p.consensus_genes if least is None else least
     v = _votes(members, ranks)
     if denominator == "any":
         known = members.filter(F.coalesce(*ranks).isNotNull()).groupBy("group").agg(F.count("*").alias("known"))
@@ -65,3 +67,25 @@ def prefer_filtered(filtered: DataFrame, unfiltered: DataFrame, kingdoms=("Bacte
     f, u = filtered.select("key", F.col("top").alias("f_top"), F.col("lineage").alias("f_lineage")), unfiltered.select("key", F.col("top").alias("u_top"), F.col("lineage").alias("u_lineage"))
     take = F.col("f_top").isin(*kingdoms) | F.col("u_top").isin(*kingdoms)
     return f.join(u, "key", "full").select("key", F.when(F.coalesce(take, F.lit(False)), F.col("f_lineage")).otherwise(F.col("u_lineage")).alias("lineage"))
+
+
+def eukaryote_override(filtered: DataFrame, unfiltered: DataFrame, kingdom: str = "k_Eukaryota") -> DataFrame:
+    """(key, lineage) where the unfiltered lineage stands in for the filtered one if it holds the kingdom."""
+    other = unfiltered.filter(F.array_contains(F.split("lineage", ";"), kingdom)).select("key", F.col("lineage").alias("own"))
+    return filtered.join(other, "key", "full").select("key", F.coalesce("own", "lineage").alias("lineage"))
+
+
+def lineage_lca(a: list[str], b: list[str], supports: tuple[str, str] | None = None) -> list[Column]:
+    """The common lineage of two, rank by rank: the taxon where both agree, with the lesser of two supports, else
+    ``unmapped`` if one of them is, or ``unclassified``. a, b: columns by rank; supports: array columns of bootstrap values.
+    """
+    out = []
+    for i, (x, y) in enumerate(zip(a, b)):
+        same = F.col(x)
+        if supports:
+            least = F.least(*(F.coalesce(F.get(s, F.lit(i)), F.lit(0)) for s in supports))
+            either = F.greatest(*(F.coalesce(F.get(s, F.lit(i)), F.lit(0)) for s in supports))
+            same = F.when(either == 0, same).otherwise(F.concat(same, F.lit("("), least.cast("string"), F.lit(")")))
+        unlike = F.when(F.col(x).contains("unmapped") | F.col(y).contains("unmapped"), "unmapped").otherwise("unclassified")
+        out.append(F.when(F.col(x) == F.col(y), same).otherwise(unlike))
+    return out

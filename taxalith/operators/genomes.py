@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxalith.operators.abundance import with_totals
+
 from taxalith.functions import sequence as S
 
 
 def completeness(counts: DataFrame, sets: DataFrame) -> DataFrame:
     """grp, completeness, contamination from marker counts (grp, marker, n) and marker sets (set_id, marker)."""
     sizes = sets.withColumn("size", F.count("*").over(Window.partitionBy("set_id")))
-    many = sets.agg(F.count_distinct("set_id").alias("sets"))
-    met = counts.filter("n > 0").join(F.broadcast(sizes), "marker").crossJoin(F.broadcast(many))
-    return met.groupBy("grp").agg((F.sum(1 / F.col("size")) * 100 / F.max("sets")).alias("completeness"), (F.sum((F.col("n") - 1) / F.col("size")) * 100 / F.max("sets")).alias("contamination"))
+    many = sets.agg(F.count_distinct("set_id")).first()[0]
+    met = counts.filter("n > 0").join(sizes, "marker")
+    extra = F.sum((F.col("n") - 1) / F.col("size")) * 100 / many
+    return met.groupBy("grp").agg((F.sum(1 / F.col("size")) * 100 / many).alias("completeness"), extra.alias("contamination"))
 
 
 def approved(counts: DataFrame, markers: int, missing: int, multiple: int) -> DataFrame:
@@ -52,10 +55,11 @@ def jaccard_pairs(words: DataFrame, least: float = 0.0) -> DataFrame:
 
 def community_profile(mapped: DataFrame) -> DataFrame:
     """sample, bin, reads, size -> % mapped of the sample, and % of the community by reads over size among bins."""
-    rate = F.when(F.col("bin") != "unbinned", F.try_divide(F.col("reads"), F.col("size")))
-    w = Window.partitionBy("sample")
-    out = mapped.withColumns({"rate": rate}).withColumns({"percent_mapped": F.try_divide(F.col("reads") * 100.0, F.sum("reads").over(w)), "binned": F.try_divide(F.sum(F.when(F.col("bin") != "unbinned", F.col("reads"))).over(w) * 1.0, F.sum("reads").over(w))})
-    return out.select("sample", "bin", "percent_mapped", (F.try_divide(F.col("rate") * 100.0, F.sum("rate").over(w)) * F.col("binned")).alias("percent_community"))
+    binned = F.when(F.col("bin") != "unbinned", F.col("reads"))
+    rate = F.try_divide(binned, F.col("size"))
+    out = with_totals(mapped, _reads="reads", _binned=binned, _rates=rate)
+    community = F.try_divide(rate * 100.0, F.col("_rates")) * F.try_divide(F.col("_binned") * 1.0, F.col("_reads"))
+    return out.select("sample", "bin", F.try_divide(F.col("reads") * 100.0, F.col("_reads")).alias("percent_mapped"), community.alias("percent_community"))
 
 
 def nucleotide_diversity(alleles: DataFrame) -> DataFrame:
@@ -135,3 +139,57 @@ def best_domains(hits: DataFrame) -> DataFrame:
     a, b = hits.alias("a"), hits.alias("b")
     worse = a.join(b, (F.col("a.orf") == F.col("b.orf")) & (F.col("a.clan") == F.col("b.clan")) & (F.col("a.start") <= F.col("b.end")) & (F.col("b.start") <= F.col("a.end")) & ((F.col("b.evalue") < F.col("a.evalue")) | ((F.col("b.evalue") == F.col("a.evalue")) & (F.col("b.hit") < F.col("a.hit")))))
     return hits.join(worse.select("a.orf", "a.hit").distinct(), ["orf", "hit"], "left_anti")
+
+
+def usage(parts: DataFrame) -> DataFrame:
+    """id, part, n and its share of the id's parts, from (id, parts array): codons, amino acids or k-mers."""
+    counts = parts.select("id", F.explode("parts").alias("part")).groupBy("id", "part").agg(F.count("*").alias("n"))
+    return with_totals(counts, "id", _total="n").select("id", "part", "n", (F.col("n") / F.col("_total")).alias("share"))
+
+
+def dissimilarity(profiles: DataFrame, pairs: DataFrame, metric: str = "manhattan") -> DataFrame:
+    """a, b and the distance of their profiles (id, part, share); parts that one of them lacks count as 0 there."""
+    norms = profiles.groupBy("id").agg(F.sum("share").alias("s"), F.sum(F.col("share") * F.col("share")).alias("q"))
+    left = profiles.select(F.col("id").alias("a"), "part", F.col("share").alias("x"))
+    right = profiles.select(F.col("id").alias("b"), "part", F.col("share").alias("y"))
+    both = pairs.select("a", "b").join(left, "a").join(right, ["b", "part"])
+    both = both.groupBy("a", "b").agg(F.sum(F.least("x", "y")).alias("least"), F.sum(F.col("x") * F.col("y")).alias("dot"))
+    named = [norms.select(F.col("id").alias(k), F.col("s").alias(f"{k}_s"), F.col("q").alias(f"{k}_q")) for k in ("a", "b")]
+    met = pairs.select("a", "b").join(both, ["a", "b"], "left").na.fill(0.0).join(named[0], "a").join(named[1], "b")
+    total = F.col("a_s") + F.col("b_s")
+    metrics = {
+        "manhattan": total - 2 * F.col("least"),
+        "braycurtis": F.try_divide(total - 2 * F.col("least"), total),
+        "euclidean": F.sqrt(F.greatest(F.lit(0.0), F.col("a_q") + F.col("b_q") - 2 * F.col("dot"))),
+        "cosine": 1 - F.try_divide(F.col("dot"), F.sqrt(F.col("a_q") * F.col("b_q"))),
+    }
+    return met.select("a", "b", metrics[metric].alias("distance"))
+
+
+def usage_outliers(genes: DataFrame, deviations: float = 2.0) -> DataFrame:
+    """Genes (genome, gene, part, n) whose usage is far from their genome's: Manhattan distance over mean plus deviations."""
+    whole = genes.groupBy("genome", "part").agg(F.sum("n").alias("n"))
+    whole = with_totals(whole, "genome", _total="n").select("genome", "part", (F.col("n") / F.col("_total")).alias("p"))
+    sizes = genes.groupBy("genome", "gene").agg(F.sum("n").alias("size"))
+    met = genes.join(sizes, ["genome", "gene"]).join(whole, ["genome", "part"])
+    # Shares sum to 1 on both sides, so the distance is 2 less twice what they have in common.
+    near = met.groupBy("genome", "gene").agg((2 - 2 * F.sum(F.least(F.col("n") / F.col("size"), "p"))).alias("distance"))
+    spread = near.groupBy("genome").agg(F.avg("distance").alias("mean"), F.stddev_pop("distance").alias("sd"))
+    far = near.join(spread, "genome").filter(F.col("distance") > F.col("mean") + deviations * F.col("sd"))
+    return far.select("genome", "gene", "distance")
+
+
+def dinucleotide_odds(sequences: DataFrame) -> DataFrame:
+    """pair and its odds over (id, seq): the pair's share over the product of its letters' shares."""
+    letters = sequences.select(F.explode(F.filter(F.split("seq", ""), lambda x: x != "")).alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+    pairs = sequences.filter("length(seq) > 1").select(F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - 1), lambda i: F.substring("seq", i, F.lit(2)))).alias("pair"))
+    pairs = pairs.groupBy("pair").agg(F.count("*").alias("n"))
+    all_letters, all_pairs = (df.agg(F.sum("n")).first()[0] or 0 for df in (letters, pairs))
+    one, two = (letters.select(F.col("x").alias(k), (F.col("n") / F.lit(all_letters)).alias(f"{k}_share")) for k in ("first", "second"))
+    met = pairs.withColumns({"first": F.substring("pair", 1, 1), "second": F.substring("pair", 2, 1)}).join(one, "first").join(two, "second")
+    return met.select("pair", "n", (F.col("n") / F.lit(all_pairs) / (F.col("first_share") * F.col("second_share"))).alias("odds"))
+
+
+def insert_size(pairs: DataFrame, percent: float = 0.95) -> DataFrame:
+    """sample and the percentile of the insert sizes of read pairs (sample, insert), which bounds the scaffold's edges."""
+    return pairs.filter("insert > 0").groupBy("sample").agg(F.percentile("insert", F.lit(percent)).alias("insert_size"))

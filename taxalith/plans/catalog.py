@@ -6,8 +6,6 @@ region > nation > segment is a lineage; orders vote for their customer; events a
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,36 +15,7 @@ from taxalith.operators import abundance, consensus, genomes, grouped, hits, int
 from taxalith.project import combine_tables, completed, union_by_priority
 from taxalith.sources import writers
 from taxalith.streaming.abundance import windowed_counts
-
-_QUERIES: dict[str, Callable] = {}
-_SQL: dict[str, str] = {}
-
-
-def sql(text: str | None):
-    def keep(f):
-        _QUERIES[f.__name__] = f
-        if text:
-            _SQL[f.__name__] = text
-        return f
-
-    return keep
-
-
-def queries() -> dict[str, Callable]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def _t(spark, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
-
-def _rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    return df.select(*[F.round(c, places).alias(c) if k == "double" else F.col(c).cast("long").alias(c) if k in ("int", "bigint", "smallint") else F.col(c) for c, k in df.dtypes])
-
+from taxalith.plans.registry import oracle_sql, queries, rounded as _rounded, sql, table as _t  # noqa: F401
 
 def _counts(spark, d: str, feature: str = "l_partkey") -> DataFrame:
     reads = _t(spark, d, "lineitem").join(_t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_size", "p_brand", "p_type"), "l_partkey")
@@ -540,3 +509,7 @@ def krona_rows(spark, d):
 @sql("with e as (select distinct unnest(string_split(p_name, ' ')) fun from part where regexp_matches(p_brand, '#1')) select fun, case fun when 'red' then '#00ff00' else '#ff0000' end colour from e")
 def ipath_colours(spark, d):
     return writers.ipath(_parts(spark, d).withColumn("lineage", F.col("p_brand")), {"red": "#00ff00"}, taxon="#1")
+
+
+# The queries of these modules join the same registry.
+from taxalith.plans import annotations, genomics, tables  # noqa: E402, F401

@@ -12,15 +12,17 @@ GFF = "contig string, source string, type string, start long, end long, score st
 
 
 def tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """TAB-separated rows; blank lines and # comments are skipped."""
-    return spark.read.csv(path, sep="\t", comment="#", schema=schema)
+    """TAB-separated rows; blank lines and # comments are skipped, quotes are characters like others."""
+    return spark.read.csv(path, sep="\t", comment="#", schema=schema, quote="")
 
 
 def with_header(spark: SparkSession, path: str) -> DataFrame:
     """A table whose first line is a comment and whose second holds the names."""
-    names = spark.read.text(path).filter("value not like '#%'").first().value.split("\t")
-    names = [n or "feature" for n in names]
-    return spark.read.csv(path, sep="\t", comment="#", schema=", ".join(f"`{n}` string" for n in names)).filter(F.col(f"`{names[0]}`") != names[0])
+    head = spark.read.text(path).filter("value not like '#%'").first().value
+    names = [n or "feature" for n in head.split("\t")]
+    lines = spark.read.text(path).filter((F.col("value") != head) & ~F.col("value").startswith("#") & (F.col("value") != ""))
+    fields = F.split("value", "\t", -1)
+    return lines.select(*(F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)))
 
 
 def samples(spark: SparkSession, path: str) -> DataFrame:
@@ -35,8 +37,15 @@ def samples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ordered_hits(spark: SparkSession, path: str, schema: str = M8) -> DataFrame:
-    """Hits with hit_order, their place in the file."""
-    return tsv(spark, path, schema).withColumn("hit_order", F.monotonically_increasing_id())
+    """Hits with hit_order, their place in the file, by file name where there are several.
+
+    Files are read in splits whose places are known: the block's start, and the row within it.
+    """
+    rows = tsv(spark, path, schema).select("*", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row"))
+    places = rows.groupBy("file", "block").agg(F.min("row").alias("first"), F.count("*").alias("many"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = places.withColumn("start", F.coalesce(F.sum("many").over(before), F.lit(0))).drop("many")
+    return rows.join(starts, ["file", "block"]).withColumn("hit_order", F.col("start") + F.col("row") - F.col("first")).drop("file", "block", "row", "first", "start")
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:

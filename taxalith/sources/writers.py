@@ -28,7 +28,7 @@ def clade_report(taxa: DataFrame, ranks: list[str], least_percent: float = 0.01)
     clade = each.groupBy("sample", "depth", "path").agg(F.sum("reads").alias("clade_reads"), F.sum(F.when(F.col("depth") == F.col("known") - 1, F.col("reads")).otherwise(0)).alias("direct_reads"))
     total = taxa.groupBy("sample").agg(F.sum("reads").alias("total"))
     names = F.array(*[F.lit(r[:1].upper()) for r in ranks])
-    out = clade.join(F.broadcast(total), "sample").withColumn("percent", F.col("clade_reads") * 100.0 / F.col("total")).filter(F.col("percent") >= least_percent)
+    out = clade.join(total, "sample").withColumn("percent", F.col("clade_reads") * 100.0 / F.col("total")).filter(F.col("percent") >= least_percent)
     return out.select("sample", F.round("percent", 4).alias("percent"), "clade_reads", "direct_reads", F.element_at(names, F.col("depth") + 1).alias("rank"), "path")
 
 
