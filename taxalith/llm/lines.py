@@ -189,8 +189,8 @@ def line_classes(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line_no", "doc")
     first = lines.select("h", place.alias("first")).join(_hold(classes), "h").groupBy("h", "root").agg(F.min("first").alias("first"))
     first = staged(first)
-    least = first.filter("root is not null").groupBy("root").agg(F.min("first").alias("kept"))
-    kept = staged(first.join(least, "root", "left").select("h", F.coalesce("kept", "first").alias("kept")))
+    least = staged(first.filter("root is not null").groupBy("root").agg(F.min("first").alias("kept")))
+    kept = staged(first.join(_hold(least), "root", "left").select("h", F.coalesce("kept", "first").alias("kept")))
     out = lines.select("doc", "doc_id", "line_no", "n_chars", "h").join(_hold(kept), "h", "left")
     own = (F.col("kept.doc") == F.col("doc")) & F.col("kept.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("kept.line_no") == F.col("line_no"))
     ids = F.when(F.col("kept").isNull(), F.col("doc_id")).otherwise(F.col("kept.doc_id"))

@@ -61,5 +61,22 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5"""
 
 
+JACCARD_SQL = r"""WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS shingle FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links), reach(a, b) AS (
+  SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+)
+SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(doc_id, coalesce(min(b), doc_id)) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN reach ON doc_id = a GROUP BY doc_id"""
+
+
 def oracle_sql():
-    return {"op5_topk": TOPK_SQL}
+    return {"op5_topk": TOPK_SQL, "op9_jaccard": JACCARD_SQL}

@@ -328,6 +328,87 @@ def test_line_shingles_are_one_definition(spark):
     assert len(line) == 719 and kept_lines(spark, [line, line + "xy"]) == [True, False]
 
 
+def character_shingles(line):
+    line = line.lower().strip(" \t\r\x0b\x0c")
+    return {line[i : i + lines.WIDTH] for i in range(max(1, len(line) - lines.WIDTH + 1))}
+
+
+def test_line_recall_by_length(spark):
+    """Of planted pairs that are similar enough by all their shingles, nine in ten meet at every length; no other pair does."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    texts, groups = [], []
+    for bucket, (least, most) in enumerate(((20, 60), (60, 120), (120, 300), (300, 900))):
+        while groups.count(bucket) < 120:
+            size, line = rng.randrange(least, most), ""
+            while len(line) < size:
+                line += word() + " "
+            line, at = line.strip(), rng.randrange(10)
+            copy = line + word() if at < 4 else word() + line if at < 6 else line[: (k := rng.randrange(len(line)))] + word() + line[k:]
+            a, b = character_shingles(line), character_shingles(copy)
+            if 100 * len(a & b) >= 80 * len(a | b):
+                texts += [line, copy]
+                groups.append(bucket)
+    for _ in range(100):
+        line = " ".join(word() for _ in range(30))
+        texts += [line, line[: len(line) // 2] + " " + " ".join(word() for _ in range(15))]
+    rows = {r.doc_id: r for r in lines.line_classes(docs(spark, texts)).collect()}
+    met = [not rows[2 * i + 1].keep and rows[2 * i + 1].kept_doc_id == 2 * i for i in range(len(texts) // 2)]
+    for bucket in range(4):
+        share = np.mean([m for m, g in zip(met, groups) if g == bucket])
+        assert share >= 0.9, (bucket, share)
+    assert not any(met[len(groups) :])
+
+
+def test_lm_equals_a_plain_model(spark):
+    """The model's scores against one with exact EM, without a grid; probabilities of a context sum to 1."""
+    rng = random.Random(22)
+    texts = [" ".join(rng.choice(["a", "b", "c", "d e", "f g h"]) for _ in range(rng.randrange(0, 30))) for _ in range(300)]
+    rows = {r.doc_id: r for r in lm.lm_scores(docs(spark, texts)).collect()}
+    tokens = {i: [b"", *lm.words_of(t), b""] for i, t in enumerate(texts)}
+    uni, bi, context = collections.Counter(), collections.Counter(), collections.Counter()
+    for i, ts in tokens.items():
+        if not rows[i].held_out:
+            uni.update(ts[1:])
+            bi.update(zip(ts, ts[1:]))
+    total, kinds = sum(uni.values()), len(uni)
+    bucket = lambda c: 0 if c <= 0 else 1 + int(math.log2(c))
+    cells = collections.defaultdict(list)
+    for (h, w), n in bi.items():
+        ch = uni[h] - 1
+        cells[bucket(ch)].append((n, (n - 1) / ch if ch else 0, (uni[w] - 1) / (total - 1)))
+    mix = {}
+    for b, own in cells.items():
+        n, p2, p1 = map(np.array, zip(*own))
+        weight, parts = np.array([1 / 3] * 3) if b else np.array([0, 0.5, 0.5]), np.stack([p2, p1, np.full(len(n), 1 / (kinds + 1))])
+        for _ in range(lm.ROUNDS):
+            share = weight[:, None] * parts
+            weight = (share / share.sum(0) * n).sum(1) / n.sum()
+        mix[b] = weight
+    p = lambda h, w: mix[bucket(uni[h])] @ [bi[h, w] / uni[h], uni[w] / total, 1 / (kinds + 1)]
+    for i, ts in tokens.items():
+        want = sum(math.log10(p(h, w)) for h, w in zip(ts, ts[1:]))
+        assert rows[i].score == pytest.approx(want, rel=0.02, abs=0.02)
+    assert sum(p(b"a", w) for w in uni) + mix[bucket(uni[b"a"])][2] / (kinds + 1) == pytest.approx(1)
+
+
+def test_jaccard_stage_tells_rows_apart(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, other = " ".join([*words[:-1], "end"]), " ".join(f"x{i}" for i in range(60))
+    rows = [(1, " ".join(words)), (5, near), (5, other), (7, "same row here now ok"), (7, "same row here now ok"), (7, "same row here now ok"), (None, near)]
+    df = spark.createDataFrame([(i, t, f"k{n}", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, key string, many long")
+    out = jaccard.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text[:2]) for r in out.collect()) == [(0, "w0"), (1, "w0"), (5, "x0"), (7, "sa")]
+
+
+def test_line_stage_keeps_any_columns(spark):
+    line = "a line of text that is long enough to be compared with others here"
+    df = spark.createDataFrame([(1, f"{line}\nown", "x", 1), (2, f"{line}\n\t\nrest", "y", 2), (None, line, "z", 3)], "doc_id long, text string, doc string, gone long")
+    got = {r.doc_id: (r.text, r.doc, r.gone) for r in lines.without_repeats(df).collect()}
+    assert got == {1: (f"{line}\nown", "x", 1), 2: ("\t\nrest", "y", 2)}
+
+
 def test_components(spark):
     rng = random.Random(10)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(70)] + [(5, 5)]
