@@ -89,3 +89,8 @@ def lineage_lca(a: list[str], b: list[str], supports: tuple[str, str] | None = N
         unlike = F.when(F.col(x).contains("unmapped") | F.col(y).contains("unmapped"), "unmapped").otherwise("unclassified")
         out.append(F.when(F.col(x) == F.col(y), same).otherwise(unlike))
     return out
+
+
+def bin_consensus(members: DataFrame, ranks: list[str], p: Params = DEFAULTS) -> DataFrame:
+    """The consensus of a bin's contigs, with the shares asked of bins, down to the first rank that isn't accepted."""
+    return consensus(members, ranks, p.bin_of_rank, p.bin_of_all, stop_at_failure=True, p=p)

@@ -125,3 +125,23 @@ def subset_by_pattern(df: DataFrame, pattern: str, columns: list[str], ignore_ca
     """Rows of which any column matches a pattern."""
     test = (lambda c: F.lower(c).contains(pattern.lower()) if ignore_case else F.col(c).contains(pattern)) if fixed else (lambda c: F.col(c).rlike(("(?i)" if ignore_case else "") + pattern))
     return df.filter(reduce(lambda a, b: a | b, [F.coalesce(test(c), F.lit(False)) for c in columns]))
+
+
+def select_entities(df: DataFrame, entity: str, query: str, **subjects) -> DataFrame:
+    """Entities that meet a query as sets: each condition holds for an entity if it holds for any of its rows.
+
+    Conditions are told by one grouping, AND and OR then combine them entity by entity, so two conditions of an AND may be met
+    by different rows of an entity.
+    """
+    tree, leaves = parse(query), []
+
+    def flagged(node) -> Column:
+        if isinstance(node, Node):
+            parts = [flagged(c) for c in node.children]
+            return reduce((lambda a, b: a & b) if node.operator == "AND" else (lambda a, b: a | b), parts)
+        leaves.append(predicate(node, subjects.get("taxa", {}), subjects.get("functions", {}), subjects.get("samples", {})))
+        return F.col(f"_c{len(leaves) - 1}")
+
+    wanted = flagged(tree)
+    flags = df.groupBy(entity).agg(*(F.bool_or(test).alias(f"_c{i}") for i, test in enumerate(leaves)))
+    return flags.filter(wanted).select(entity)

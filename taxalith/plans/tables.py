@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxalith.operators import abundance, bins, consensus, ranking, statistics
+from taxalith.operators.query import select_entities
 from taxalith.plans.registry import rounded, sql, table
+from taxalith.sources import packages
 
 _GC = "(length(text) - length(translate(text, 'GCgc', ''))) * 100.0 / greatest(length(text), 1)"
 
@@ -234,3 +236,37 @@ with r as (select lang grp, n_chars, sum(n_chars) over (partition by lang order
 select grp, count(*) filter (upto - n_chars < total * 0.5) l_count from r group by 1""")
 def l50(spark, d):
     return rounded(ranking.l_count(table(spark, d, "documents").select(F.col("lang").alias("grp"), F.col("n_chars").alias("length")), 50))
+
+
+@sql("""
+with e as (
+  select l_orderkey entity, bool_or(list_contains(string_split(p_name, ' '), 'ring')) a, bool_or(l_quantity > 45) b, bool_or(p_brand = 'Brand#1') c
+  from lineitem join part on l_partkey = p_partkey group by 1
+) select entity from e where (a and b) or c""")
+def entities_by_sets(spark, d):
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select(F.col("l_orderkey").alias("entity"), F.split("p_name", " ").alias("fun"), F.col("l_quantity").alias("s1"), F.col("p_brand").alias("genus"))
+    query = "(FUN == ring AND s1 > 45) OR GENUS == Brand#1"
+    return select_entities(rows, "entity", query, taxa={"GENUS": "genus"}, functions={"FUN": ["fun"]}, samples={"s1": "s1"})
+
+
+@sql("""
+with v as (select o_custkey grp, o_orderstatus taxon, count(*) n from orders group by 1, 2),
+t as (select grp, sum(n) total, max(n) best from v group by 1), x as (select v.*, total, best, count(*) over (partition by v.grp, n) ties from v join t using (grp))
+select grp as "group", 'status' as rank, taxon, round((total - n) / total, 6) disparity, cast(total as bigint) n_members
+from x where n = best and ties = 1 and n / total >= 0.6""")
+def bin_consensus_defaults(spark, d):
+    members = table(spark, d, "orders").select(F.col("o_custkey").alias("group"), F.col("o_orderstatus").alias("status"))
+    return rounded(consensus.bin_consensus(members, ["status"]), 6)
+
+
+@sql(f"""
+with {_LONG}, r as (select case when feature = 'Brand#1' then 'Unclassified' else feature end feature, sample, value from l where feature <> 'Brand#2' and sample in ('AF', 'RF'))
+select feature, round(coalesce(sum(value) filter (sample = 'AF'), 0), 4) "AF", round(coalesce(sum(value) filter (sample = 'RF'), 0), 4) "RF",
+  case when feature <> 'Unclassified' then 'of ' || feature end genus from r group by 1""")
+def community_bundle(spark, d):
+    """The bundle's counts beside its ranks; one brand plays a partial classification, another the unmapped reads."""
+    long = _long(spark, d).replace({"Brand#1": "Unclassified Brand#1", "Brand#2": "Unmapped"}, subset=["feature"])
+    lineages = table(spark, d, "part").select(F.col("p_brand").alias("feature"), F.concat(F.lit("of "), "p_brand").alias("genus"))
+    counts, taxa, _ = packages.community_bundle(long, lineages, long.select("sample").distinct(), ["genus"], ["AF", "RF"], partial="merge")
+    return rounded(counts.join(taxa, "feature"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxalith.operators.abundance import pivoted
+from taxalith.params import DEFAULTS
 
 
 def feature_table(long: DataFrame, path: str, samples: list[str], feature: str = "feature", sample: str = "sample", value: str = "value") -> None:
@@ -16,10 +17,18 @@ def feature_table(long: DataFrame, path: str, samples: list[str], feature: str =
     wide.withColumnRenamed(feature, " ").coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)
 
 
-def stamp(funcover: DataFrame, samples: list[str], least_reads: int = 200) -> DataFrame:
+def stamp(funcover: DataFrame, samples: list[str], least_reads: int = DEFAULTS.min_reads_exported) -> DataFrame:
     """Functions with enough reads, a column of reads for each sample."""
-    total = Window.partitionBy("fun")
-    return pivoted(funcover.withColumn("t", F.sum("reads").over(total)).filter(F.col("t") >= least_reads), "fun", "sample", "reads", samples)
+    enough = funcover.groupBy("fun").agg(F.sum("reads").alias("t")).filter(F.col("t") >= least_reads).select("fun")
+    return pivoted(funcover.join(enough, "fun", "left_semi"), "fun", "sample", "reads", samples)
+
+
+def stamp_profile(funcover: DataFrame, classes: DataFrame, samples: list[str]) -> DataFrame:
+    """Every function's reads by sample, behind its class and name (fun, class, name); unknown ones are ``Unclassified``."""
+    counts = pivoted(funcover, "fun", "sample", "reads", samples)
+    named = classes.dropDuplicates(["fun"]).select("fun", "class", "name")
+    out = counts.join(named, "fun", "left").na.fill("Unclassified", ["class"]).withColumn("name", F.coalesce("name", "fun"))
+    return out.select("class", "name", "fun", *samples)
 
 
 def clade_report(taxa: DataFrame, ranks: list[str], least_percent: float = 0.01) -> DataFrame:

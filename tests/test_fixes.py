@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from taxalith.functions import names
 from taxalith.functions import sequence as S
 from taxalith.operators import abundance, annotations, bins, consensus, ranking, statistics
-from taxalith.plans import registry
-from taxalith.sources import readers
+from taxalith.plans import catalog, registry
+from taxalith.project import Project
+from taxalith.sources import packages, readers, writers
 
 
 def test_ignored_features_are_not_in_other(spark):
@@ -63,6 +64,7 @@ def test_sources_models_and_registration(spark):
     with pytest.raises(ValueError):
         annotations.models_matching(models, ["a", "!b"])
     with pytest.raises(ValueError):
+        assert "tpm_by_feature" in catalog.queries()
         registry.register("tpm_by_feature", lambda spark, d: None)
 
 
@@ -79,3 +81,35 @@ def test_empty_tables(spark):
     genes = spark.createDataFrame([], "fun string, sample string, reads long, bases double, coverage double, tpm double")
     assert statistics.function_table(genes).count() == 0
     assert bins.chosen(spark.createDataFrame([("b", 90.0, 1.0)], "bin string, completeness double, contamination double"), names=[]).count() == 0
+
+
+def test_conf_and_packages(spark, tmp_path):
+    got = packages.conf('# note\n$base = "/x";\n$dir = "$base/y"; # more\n$file="${dir}/z_$other";\n')
+    assert got == {"base": "/x", "dir": "/x/y", "file": "/x/y/z_$other"}
+    with pytest.raises(ValueError):
+        packages.conf("$a = $b;\n$b = $a;")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "t.tsv").write_text('# note\n\ts1\n"a\t1\nb\t2\n')
+    (tmp_path / "in" / "other.txt").write_text("x")
+    assert packages.zipped(str(tmp_path / "in"), str(tmp_path / "p.zip"), (".tsv",)) == ["t.tsv"]
+    assert [r.asDict() for r in packages.member(spark, str(tmp_path / "p.zip"), "t.tsv").collect()] == [{"feature": '"a', "s1": "1"}, {"feature": "b", "s1": "2"}]
+
+
+def test_projects_of_several_folders(spark, tmp_path):
+    for name in ("one", "two"):
+        orfs = spark.createDataFrame([(f"{name}_1-9", "c", 9, ["f"], "g")], "orf string, contig string, length long, fun array<string>, genus string")
+        counts = spark.createDataFrame([(f"{name}_1-9", name, 4, 40.0)], "orf string, sample string, reads long, bases double")
+        contigs = spark.createDataFrame([("c", "b", "g")], "contig string, bin string, genus string")
+        Project(name, orfs, counts, contigs, ["genus"]).save(str(tmp_path / name))
+    loaded = packages.load_many(spark, {n: str(tmp_path / n) for n in ("one", "two")}, ["genus"])
+    assert sorted((r.fun, r.sample, r.reads) for r in packages.combined_functions(loaded).collect()) == [("f", "one", 4), ("f", "two", 4)]
+    with pytest.raises(ValueError):
+        packages.combined_functions({"a": loaded["one"], "b": loaded["one"]})
+
+
+def test_stamp_profile(spark):
+    cover = spark.createDataFrame([("f", "a", 5), ("g", "a", 1), ("g", "b", 2)], "fun string, sample string, reads long")
+    classes = spark.createDataFrame([("f", "C", "F")], "fun string, class string, name string")
+    rows = writers.stamp_profile(cover, classes, ["a", "b"]).collect()
+    assert sorted(map(tuple, rows)) == [("C", "F", "f", 5, 0), ("Unclassified", "g", "g", 1, 2)]
+    assert [tuple(r) for r in writers.stamp(cover, ["a", "b"], 4).collect()] == [("f", 5, 0)]
