@@ -2,6 +2,11 @@
 
 Toxic documents go; of lines that repeat, exactly or nearly, one stays; of documents that are near copies one stays; sources
 are mixed to target weights; the mix is packed into sequences. All stages but the last return the columns of documents.
+
+Null and empty texts pass the first three stages, hold no words to mix and so leave there. Rows without an id are kept by the
+near-duplicate stages. Rows that repeat id and text are one document, of which the third stage keeps one row. Ties go to the
+smaller id. Very long texts are handled whole. An empty table gives no rows. Further columns pass as they are, whatever their
+names.
 """
 
 from __future__ import annotations
