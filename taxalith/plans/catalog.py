@@ -336,31 +336,18 @@ def _words(spark, d):
 _WORDS = "w as (select item_id id, unnest(string_split(lower(text), ' ')) kmer from benchmark)"
 
 
-@sql(f"with {_WORDS} select id, kmer, count(*) n, round(count(*) / sum(count(*)) over (partition by id), 6) share from w group by 1, 2")
-def kmer_profile(spark, d):
-    return _rounded(genomes.word_profile(_words(spark, d)), 6)
-
-
-@sql(f"with {_WORDS}, p as (select id, kmer, count(*) / sum(count(*)) over (partition by id) share from w group by 1, 2), q as (select distinct id a, id + 1 b from w where id + 1 in (select id from w)), e as (select a, b, kmer, abs(sum(case when id = a then share else -share end)) x from q join p on id = a or id = b group by 1, 2, 3) select a, b, round(sum(x), 6) distance from e group by 1, 2")
-def kmer_distance(spark, d):
-    words = _words(spark, d)
-    ids = words.select("id").distinct()
-    pairs = ids.select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).join(ids.select(F.col("id").alias("b")), "b", "left_semi")
-    return _rounded(genomes.profile_distance(genomes.word_profile(words), pairs), 6)
-
-
 def _kmers_sql(table: str, key: str) -> str:
     """CTE f: id, kmer, n and share of canonical 4-mers; runs of ACGT first, as only their windows count."""
     return f"u as (select {key} id, unnest(regexp_extract_all(upper(text), '[ACGT]{{4,}}')) run from {table}), v as (select id, run, unnest(range(1, length(run) - 2)) i from u), w as (select id, least(substr(run, i, 4), reverse(translate(substr(run, i, 4), 'ACGT', 'TGCA'))) kmer from v), f as (select id, kmer, count(*) n, count(*) / sum(count(*)) over (partition by id) share from w group by 1, 2)"
 
 
 @sql(f"with {_kmers_sql('documents', 'doc_id')} select id, kmer, n, round(share, 6) share from f")
-def kmer_profile_documents(spark, d):
+def kmer_profile(spark, d):
     return _rounded(genomes.kmer_profile(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq")), 4), 6)
 
 
 @sql(f"with {_kmers_sql('benchmark', 'item_id')}, q as (select x.id a, y.id b from (select distinct id from f) x join (select distinct id from f) y on x.id < y.id), e as (select a, b, kmer, abs(sum(case when id = a then share else -share end)) x from q join f on a = id or b = id group by 1, 2, 3) select a, b, round(sum(x), 6) distance from e group by 1, 2")
-def kmer_distance_pairs(spark, d):
+def kmer_distance(spark, d):
     """All pairs of items of benchmark that hold a 4-mer."""
     profile = genomes.kmer_profile(_t(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("seq")), 4)
     ids = profile.select("id").distinct()
@@ -373,13 +360,13 @@ def jaccard_pairs(spark, d):
     return _rounded(genomes.jaccard_pairs(_words(spark, d).withColumnRenamed("kmer", "word"), 0.1), 6)
 
 
-_MARK = "c as (select c_nationkey grp, c_mktsegment marker, count(*) n from customer where c_custkey % 7 < 3 group by 1, 2), s as (select case when marker < 'C' then 1 else 2 end set_id, marker from (select distinct c_mktsegment marker from customer)), z as (select *, count(*) over (partition by set_id) size from s)"
+_MARK = "c as (select o_custkey grp, o_orderpriority marker, count(*) n from orders group by 1, 2), s as (select case when marker < '3' then 1 else 2 end set_id, marker from (select distinct o_orderpriority marker from orders)), z as (select *, count(*) over (partition by set_id) size from s)"
 
 
 def _marker_tables(spark, d):
-    c = _t(spark, d, "customer")
-    counts = c.filter("c_custkey % 7 < 3").groupBy(F.col("c_nationkey").alias("grp"), F.col("c_mktsegment").alias("marker")).agg(F.count("*").alias("n"))
-    return counts, c.select(F.expr("if(c_mktsegment < 'C', 1, 2)").alias("set_id"), F.col("c_mktsegment").alias("marker")).distinct()
+    o = _t(spark, d, "orders")
+    counts = o.groupBy(F.col("o_custkey").alias("grp"), F.col("o_orderpriority").alias("marker")).agg(F.count("*").alias("n"))
+    return counts, o.select(F.expr("if(o_orderpriority < '3', 1, 2)").alias("set_id"), F.col("o_orderpriority").alias("marker")).distinct()
 
 
 @sql(f"with {_MARK}, k as (select count(distinct set_id) k from s) select cast(grp as bigint) grp, round(sum(1.0 / size) * 100 / any_value(k), 4) completeness, round(sum((n - 1.0) / size) * 100 / any_value(k), 4) contamination from c join z on c.marker = z.marker, k group by 1")
@@ -390,26 +377,6 @@ def completeness_contamination(spark, d):
 @sql(f"with {_MARK}, m as (select count(*) k from s), a as (select grp, count(*) present, count(*) filter (where n > 1) multicopy from c group by 1) select cast(grp as bigint) grp, present, multicopy from a, m where k - present <= 1 and multicopy <= 4")
 def scg_approval(spark, d):
     counts, sets = _marker_tables(spark, d)
-    return _rounded(genomes.approved(counts, 5, 1, 4))
-
-
-_ORDER_MARK = "c as (select o_custkey grp, o_orderpriority marker, count(*) n from orders group by 1, 2), s as (select case when marker < '3' then 1 else 2 end set_id, marker from (select distinct o_orderpriority marker from orders)), z as (select *, count(*) over (partition by set_id) size from s)"
-
-
-def _order_markers(spark, d):
-    o = _t(spark, d, "orders")
-    counts = o.groupBy(F.col("o_custkey").alias("grp"), F.col("o_orderpriority").alias("marker")).agg(F.count("*").alias("n"))
-    return counts, o.select(F.expr("if(o_orderpriority < '3', 1, 2)").alias("set_id"), F.col("o_orderpriority").alias("marker")).distinct()
-
-
-@sql(f"with {_ORDER_MARK}, k as (select count(distinct set_id) k from s) select cast(grp as bigint) grp, round(sum(1.0 / size) * 100 / any_value(k), 4) completeness, round(sum((n - 1.0) / size) * 100 / any_value(k), 4) contamination from c join z on c.marker = z.marker, k group by 1")
-def completeness_contamination_orders(spark, d):
-    return _rounded(genomes.completeness(*_order_markers(spark, d)))
-
-
-@sql(f"with {_ORDER_MARK}, m as (select count(*) k from s), a as (select grp, count(*) present, count(*) filter (where n > 1) multicopy from c group by 1) select cast(grp as bigint) grp, present, multicopy from a, m where k - present <= 1 and multicopy <= 4")
-def scg_approval_orders(spark, d):
-    counts, sets = _order_markers(spark, d)
     return _rounded(genomes.approved(counts, sets.count(), 1, 4))
 
 
@@ -478,14 +445,8 @@ def log2fc_groups(spark, d):
     return _rounded(ranking.log2_change(_long(spark, d), ["AF", "RF"], ["NO", "NF"]), 6)
 
 
-@sql("with b as (select l_orderkey contig, l_returnflag a, l_linestatus b, l_linenumber from lineitem where l_linenumber = 1) select a, b, cast(sum(1) as bigint) shared, round(sum(1) * 100.0 / sum(sum(1)) over (partition by a), 4) percent_a, round(sum(1) * 100.0 / sum(sum(1)) over (partition by b), 4) percent_b from (select distinct contig, min(a) over (partition by contig) a, min(b) over (partition by contig) b from b) group by 1, 2")
-def bin_comparison(spark, d):
-    rows = _t(spark, d, "lineitem").filter("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("contig")).agg(F.min("l_returnflag").alias("a"), F.min("l_linestatus").alias("b")).withColumn("length", F.lit(1))
-    return _rounded(genomes.bin_comparison(rows.select(F.col("a").alias("bin"), "contig", "length"), rows.select(F.col("b").alias("bin"), "contig", "length")))
-
-
 @sql("select l_returnflag a, l_linestatus b, cast(count(*) as bigint) shared, round(count(*) * 100.0 / sum(count(*)) over (partition by l_returnflag), 4) percent_a, round(count(*) * 100.0 / sum(count(*)) over (partition by l_linestatus), 4) percent_b from lineitem group by 1, 2")
-def bin_comparison_lines(spark, d):
+def bin_comparison(spark, d):
     rows = _t(spark, d, "lineitem").groupBy(F.concat_ws(":", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").alias("contig"), F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b")).agg(F.count("*").alias("length"))
     return _rounded(genomes.bin_comparison(rows.select(F.col("a").alias("bin"), "contig", "length"), rows.select(F.col("b").alias("bin"), "contig", "length")))
 

@@ -72,10 +72,10 @@ def test_marker_and_bin_queries_read_every_row(spark, tmp_path):
     lines = [(1, 1, "A", "F"), (1, 2, "R", "F"), (1, 2, "R", "O"), (2, 7, "A", "F"), (2, 7, "A", "F")]
     spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string").write.parquet(f"{d}/lineitem.parquet")
     q = catalog.queries()
-    got = {r.grp: (round(r.completeness, 2), round(r.contamination, 2)) for r in q["completeness_contamination_orders"](spark, d).collect()}
+    got = {r.grp: (round(r.completeness, 2), round(r.contamination, 2)) for r in q["completeness_contamination"](spark, d).collect()}
     assert got == {1: (100.0, 0.0), 2: (100.0, 25.0), 3: (16.67, 0.0)}
-    assert {(r.grp, r.present, r.multicopy) for r in q["scg_approval_orders"](spark, d).collect()} == {(1, 5, 0), (2, 5, 1)}
-    assert {(r.a, r.b, r.shared, r.percent_a, r.percent_b) for r in q["bin_comparison_lines"](spark, d).collect()} == {("A", "F", 3, 100.0, 75.0), ("R", "F", 1, 50.0, 25.0), ("R", "O", 1, 50.0, 100.0)}
+    assert {(r.grp, r.present, r.multicopy) for r in q["scg_approval"](spark, d).collect()} == {(1, 5, 0), (2, 5, 1)}
+    assert {(r.a, r.b, r.shared, r.percent_a, r.percent_b) for r in q["bin_comparison"](spark, d).collect()} == {("A", "F", 3, 100.0, 75.0), ("R", "F", 1, 50.0, 25.0), ("R", "O", 1, 50.0, 100.0)}
 
 
 def test_kmer_queries_take_canonical_kmers_and_all_pairs(spark, tmp_path):
@@ -83,8 +83,8 @@ def test_kmer_queries_take_canonical_kmers_and_all_pairs(spark, tmp_path):
     spark.createDataFrame([(1, "aaaat"), (2, None), (3, "TTTTNACGT xé"), (4, "acg")], "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([(1, "AAAA"), (3, "TTTT"), (7, "CCCC GGGG"), (9, "none")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     q = catalog.queries()
-    assert rows(q["kmer_profile_documents"](spark, d)) == [(1, "AAAA", 1, 0.5), (1, "AAAT", 1, 0.5), (3, "AAAA", 1, 0.5), (3, "ACGT", 1, 0.5)]
-    assert rows(q["kmer_distance_pairs"](spark, d)) == [(1, 3, 0.0), (1, 7, 2.0), (3, 7, 2.0)]
+    assert rows(q["kmer_profile"](spark, d)) == [(1, "AAAA", 1, 0.5), (1, "AAAT", 1, 0.5), (3, "AAAA", 1, 0.5), (3, "ACGT", 1, 0.5)]
+    assert rows(q["kmer_distance"](spark, d)) == [(1, 3, 0.0), (1, 7, 2.0), (3, 7, 2.0)]
 
 
 def test_n50_duplicates_cover_and_kmers(spark):
