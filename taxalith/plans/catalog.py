@@ -355,6 +355,21 @@ def kmer_distance(spark, d):
     return _rounded(genomes.profile_distance(profile, pairs), 6)
 
 
+_GROUP = "concat_ws(':', coalesce(lang, ''), coalesce(source, ''))"
+
+
+@sql(f"""
+with {_kmers_sql('documents', _GROUP)}, q as (select x.id a, y.id b from (select distinct id from f) x join (select distinct id from f) y on x.id < y.id),
+e as (select a, b, kmer, abs(sum(case when id = a then share else -share end)) x from q join f on a = id or b = id group by 1, 2, 3)
+select a, b, round(sum(x), 6) distance from e group by 1, 2""")
+def kmer_distance_groups(spark, d):
+    """All pairs of groups of documents by language and source that hold a 4-mer."""
+    profile = genomes.kmer_profile(_t(spark, d, "documents").select(F.expr(_GROUP).alias("id"), F.col("text").alias("seq")), 4)
+    ids = profile.select("id").distinct()
+    pairs = ids.select(F.col("id").alias("a")).join(ids.select(F.col("id").alias("b")), F.col("a") < F.col("b"))
+    return _rounded(genomes.profile_distance(profile, pairs), 6)
+
+
 @sql(f"with {_WORDS}, o as (select distinct id, kmer from w), s as (select id, count(*) n from o group by 1), x as (select a.id a, b.id b, count(*) k from o a join o b on a.kmer = b.kmer and a.id < b.id group by 1, 2) select a, b, round(k / (s1.n + s2.n - k), 6) jaccard from x join s s1 on a = s1.id join s s2 on b = s2.id where k / (s1.n + s2.n - k) >= 0.1")
 def jaccard_pairs(spark, d):
     return _rounded(genomes.jaccard_pairs(_words(spark, d).withColumnRenamed("kmer", "word"), 0.1), 6)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxalith.functions import sequence as S
-from taxalith.operators import genomes, hits, ranking
+from taxalith.operators import genomes, hits, ranking, variation
 from taxalith.plans.registry import rounded, sql, table
 
 _CODONS = "c as (select item_id id, unnest([substr(text, i * 3 + 1, 3) for i in range(0, length(text) // 3)]) part from benchmark), u as (select id, part, count(*) n, count(*) * 1.0 / sum(count(*)) over (partition by id) as share from c group by 1, 2)"
@@ -111,3 +111,66 @@ def insert_sizes(spark, d):
 def sequence_parts(spark, d):
     text, start, end = F.col("text"), F.lit(3), F.lit(10)
     return table(spark, d, "benchmark").select("item_id", S.part(text, start, end).alias("forward"), S.part(text, start, end, F.lit("-")).alias("backward"))
+
+
+#: A gene for each part, of the letters of its name, and alleles for each line of an order. The genetic code as in the operator.
+_SITES = f"""code as (select substr('TCAG', a + 1, 1) || substr('TCAG', b + 1, 1) || substr('TCAG', c + 1, 1) codon, substr('{variation.AMINO_ACIDS}', a * 16 + b * 4 + c + 1, 1) aa
+  from range(4) x(a), range(4) y(b), range(4) z(c)),
+chg as (select k.codon, cast(j as bigint) j, x, k.aa = m.aa same from code k, range(3) p(j), (select unnest(['A', 'C', 'G', 'T']) x), code m
+  where x <> substr(k.codon, j + 1, 1) and m.codon = substr(k.codon, 1, j) || x || substr(k.codon, j + 2) and k.aa <> '*' and m.aa <> '*'),
+tot as (select codon, count(*) filter (where same) ts, count(*) filter (where not same) tn from chg group by 1),
+gene as (select p_partkey gene, translate(lower(p_name), 'abcdefghijklmnopqrstuvwxyz ', 'ACGTACGTACGTACGTACGTACGTACG') seq, p_partkey % 2 = 0 plus from part),
+sense as (select gene, plus, length(seq) size, case when plus then seq else reverse(translate(seq, 'ACGT', 'TGCA')) end s from gene),
+cod as (select gene, i, substr(s, cast(i * 3 + 1 as bigint), 3) codon from (select gene, s, unnest(range(1, size // 3)) i from sense)),
+al as (select l_returnflag sample, l_partkey gene, l_linenumber + l_suppkey % 17 pos, substr('ACGT', cast(1 + l_orderkey % 4 as bigint), 1) allele, count(*) n from lineitem group by 1, 2, 3, 4),
+k as (select sample, gene, allele, n, case when plus then pos - 1 else size - pos end k, case when plus then allele else translate(allele, 'ACGT', 'TGCA') end letter from al join sense using (gene)),
+site as (select sample, gene, k // 3 i, k % 3 j, allele, letter, n, codon, letter <> substr(codon, cast(k % 3 + 1 as bigint), 1) other from k join cod using (gene) where k >= 0 and cod.i = k // 3),
+pick as (select sample, gene, i, j, any_value(codon) codon, first(letter order by n desc, other, allele) most from site group by 1, 2, 3, 4),
+now as (select sample, gene, i, any_value(codon) codon, coalesce(max(most) filter (where j = 0), substr(any_value(codon), 1, 1)) || coalesce(max(most) filter (where j = 1), substr(any_value(codon), 2, 1))
+  || coalesce(max(most) filter (where j = 2), substr(any_value(codon), 3, 1)) now from pick group by 1, 2, 3),
+seen as (select sample, gene, count(*) filter (where not same) pn, count(*) filter (where same) ps from site join now using (sample, gene, i) join chg on chg.codon = now and chg.j = site.j and x = letter group by 1, 2),
+whole as (select gene, sum(coalesce(tn, 0)) tn, sum(coalesce(ts, 0)) ts from cod left join tot using (codon) group by 1),
+moved as (select sample, gene, sum(coalesce(b.tn, 0) - coalesce(a.tn, 0)) dn, sum(coalesce(b.ts, 0) - coalesce(a.ts, 0)) ds from now left join tot a on a.codon = now.codon left join tot b on b.codon = now group by 1, 2),
+t as (select sample, gene, coalesce(pn, 0) pn, coalesce(ps, 0) ps, tn + dn tn, ts + ds ts from moved join whole using (gene) left join seen using (sample, gene))"""
+
+
+@sql(f"""
+with {_SITES}
+select sample, gene, pn, ps, cast(tn as bigint) tn, cast(ts as bigint) ts, round((pn / nullif(cast(tn as double), 0)) / nullif(ps / nullif(cast(ts as double), 0), 0), 4) ratio from t""")
+def gene_pn_ps(spark, d):
+    name = F.translate(F.lower("p_name"), "abcdefghijklmnopqrstuvwxyz ", "ACGTACGTACGTACGTACGTACGTACG")
+    genes = table(spark, d, "part").select(F.col("p_partkey").alias("gene"), F.col("p_partkey").alias("contig"), F.lit(1).alias("start"), F.expr("if(p_partkey % 2 = 0, '+', '-')").alias("strand"), name.alias("seq"))
+    place = (F.col("l_linenumber") + F.col("l_suppkey") % 17).alias("pos")
+    letter = F.substring(F.lit("ACGT"), (1 + F.col("l_orderkey") % 4).cast("int"), F.lit(1)).alias("allele")
+    alleles = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("sample"), F.col("l_partkey").alias("contig"), place, letter).agg(F.count("*").alias("n"))
+    return rounded(variation.pn_ps(genes, alleles))
+
+
+@sql("""
+with c as (select l_orderkey bin, l_returnflag marker, l_linenumber id, lpad(cast(l_partkey as varchar), 9, '-') || '-' || lpad(cast(l_suppkey as varchar), 7, '-') seq from lineitem),
+p as (select x.bin, x.seq x, y.seq y from c x join c y on x.bin = y.bin and x.marker = y.marker and x.id < y.id),
+h as (select *, [i for i in range(1, length(x) + 1) if substr(x, i, 1) <> '-' and substr(y, i, 1) <> '-'] held from p),
+m as (select bin, x, y, [i for i in range(list_min(held), list_max(held) + 1) if substr(x, i, 1) <> '-' or substr(y, i, 1) <> '-'] met from h),
+f as (select bin, len([i for i in met if substr(x, i, 1) = substr(y, i, 1)]) * 1.0 / len(met) identity from m)
+select bin, count(*) pairs, count(*) filter (where identity > 0.5) as close, round(count(*) filter (where identity > 0.5) * 100.0 / count(*), 4) heterogeneity from f group by 1""")
+def strain_heterogeneity(spark, d):
+    rows = table(spark, d, "lineitem")
+    seq = F.concat(F.lpad(F.col("l_partkey").cast("string"), 9, "-"), F.lit("-"), F.lpad(F.col("l_suppkey").cast("string"), 7, "-"))
+    copies = rows.select(F.col("l_orderkey").alias("bin"), F.col("l_returnflag").alias("marker"), F.col("l_linenumber").alias("id"), seq.alias("seq"))
+    return rounded(variation.strain_heterogeneity(copies, 0.5))
+
+
+_BRIDGES = "e as (select doc_id gene, text, unnest(range(3, length(text) - 1, 3)) i from documents), p as (select gene, upper(substr(text, i, 2)) pair from e)"
+
+
+@sql(f"with {_BRIDGES} select gene, pair, count(*) n from p where regexp_matches(pair, '^[ACGT]{{2}}$') group by 1, 2")
+def bridging_pairs(spark, d):
+    pairs = variation.bridging_pairs(table(spark, d, "documents").select(F.lit(0).alias("genome"), F.col("doc_id").alias("gene"), F.col("text").alias("seq")))
+    return rounded(pairs.unpivot(["gene"], variation.PAIRS, "pair", "n").filter("n > 0"))
+
+
+@sql(None)
+def hotelling_outliers(spark, d):
+    """Documents of a language as genes of a genome; the matrix is inverted in numpy, so SQL has no such query."""
+    genes = table(spark, d, "documents").select(F.col("lang").alias("genome"), F.col("doc_id").alias("gene"), F.col("text").alias("seq"))
+    return rounded(variation.hotelling(variation.bridging_pairs(genes)))
