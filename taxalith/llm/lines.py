@@ -47,34 +47,35 @@ def shingles(line: Column) -> Column:
 def banded(lines: DataFrame, hashes: Column, n: Column) -> DataFrame:
     """lines with keys: their bands' keys, null where there is no band. n: the number of shingles.
 
-    In steps, of which the sort and the search for the edges are compiled; the last one only handles a few hashes of a line.
+    The sort, the search for the edges and the bins' least hashes are compiled: within a lambda, each slice would box all hashes
+    of the line. Lambdas only handle what few lines have, and keep the keys out of one method too long to be compiled.
     """
     edges = F.array(*map(F.lit, EDGES))
     out = lines.select("*", n.alias("_n"), F.sort_array(F.concat(hashes, edges)).alias("_m"))
-    found = F.array(*(F.array_position("_m", F.lit(e)).cast("int") for e in EDGES), F.size("_m") + 1)
-    out = out.select("*", found.alias("_p"))
+    places = [F.array_position("_m", F.lit(e)).cast("int").alias(f"_p{i}") for i, e in enumerate(EDGES)]
+    out = out.select("*", *places, (F.size("_m") + 1).alias(f"_p{len(EDGES)}"))
 
-    def between(begin: Column, end: Column, most: int | None = None) -> Column:
-        size = F.get("_p", end) - F.get("_p", begin) - 1
-        return F.slice("_m", F.get("_p", begin) + 1, F.least(size, F.lit(most)) if most else size)
+    def between(begin: int, end: int, most: int | None = None) -> Column:
+        size = F.col(f"_p{end}") - F.col(f"_p{begin}") - 1
+        return F.slice("_m", F.col(f"_p{begin}") + 1, F.least(size, F.lit(most)) if most else size)
 
-    def key(bins: int, i: Column, least: Column, enough: Column) -> Column:
-        return F.when(enough | (F.col("_n") < 4) & (F.size(least) > 0), F.xxhash64(F.lit(bins), i, least))
+    out = out.select("*", *(between(i, i + 1, ROWS).alias(f"_s{i}") for i in range(len(EDGES))))
 
-    def fine(i: Column) -> Column:
+    def key(bins: int, i: int, least: Column) -> Column:
+        return F.when((F.size(least) > 1) | (F.col("_n") < 4) & (F.size(least) > 0), F.xxhash64(F.lit(bins), F.lit(i), least))
+
+    def fine(i: int) -> Column:
         """The ROWS least distinct hashes; all of a bin are looked at only where they repeat."""
-        some, whole = between(i, i + 1, ROWS), F.slice(F.array_distinct(between(i, i + 1)), 1, ROWS)
-        plain = F.size(F.array_distinct(some)) == F.size(some)
-        return F.when(plain, key(BINS, i, some, F.size(some) > 1)).otherwise(key(BINS, i, whole, F.size(whole) > 1))
+        some, whole = F.col(f"_s{i}"), F.slice(F.array_distinct(between(i, i + 1)), 1, ROWS)
+        return F.when(F.size(F.array_distinct(some)) == F.size(some), key(BINS, i, some)).otherwise(key(BINS, i, whole))
 
-    def wide(g: Column) -> Column:
+    def wide(g: int) -> Column:
         half = len(EDGES) // 2
-        least = F.slice(F.array_except(between(g * half, (g + 1) * half), edges), 1, ROWS)
-        return key(1, g, least, F.size(least) > 1)
+        return key(1, g, F.slice(F.array_except(between(g * half, (g + 1) * half), edges), 1, ROWS))
 
-    each = F.transform(F.sequence(F.lit(0), F.lit(len(EDGES) - 1)), fine)
-    few = F.when(F.col("_n") <= FEW, F.concat(each, F.transform(F.sequence(F.lit(0), F.lit(1)), wide))).otherwise(each)
-    return out.select(*lines.columns, few.alias("keys"))
+    each = F.array(*map(fine, range(len(EDGES))))
+    more = F.transform(F.array(wide(0), wide(1)), lambda x: x)
+    return out.select(*lines.columns, F.when(F.col("_n") <= FEW, F.concat(each, more)).otherwise(each).alias("keys"))
 
 
 PARITIES = [f"p{i}" for i in range(WORDS)]
