@@ -338,7 +338,7 @@ def test_band_keys_slice_outside_lambdas(spark):
     assert "slice(_m" in plan
     for part in plan.split("lambdafunction(")[1:]:
         depth, end = 1, 0
-        while depth:
+        while depth and end < len(part):
             depth += {"(": 1, ")": -1}.get(part[end], 0)
             end += 1
         assert "slice(" not in part[:end]
