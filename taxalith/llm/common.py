@@ -147,11 +147,31 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def columns(batches: Iterator, *names: str) -> Iterator[tuple]:
-    """Python lists of the named columns, one tuple per Arrow batch."""
+def large_given_back() -> None:
+    """From now on this worker's allocations of 1 MB and more go back to the system as soon as they are freed.
+
+    By default the C library raises that limit with every larger one it frees, and keeps what is below between other things.
+    """
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
+#: Bytes of Arrow rows that become Python objects at once.
+SLICE = 4_000_000
+
+
+def slices(batches: Iterator, most: int = SLICE) -> Iterator:
+    """The batches in runs of rows, of about most bytes each, or of one row where that is larger. Empty batches are left out."""
     for batch in batches:
-        if batch.num_rows:
-            yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+        rows = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def columns(batches: Iterator, *names: str) -> Iterator[tuple]:
+    """Python lists of the named columns, one tuple per slice of an Arrow batch."""
+    for batch in slices(batches):
+        yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
     release()
 
 

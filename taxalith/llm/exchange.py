@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxalith.llm.common import large_given_back, release
+
 REQUESTS = "part long, batch long, keys binary, adds binary"
 REPLIES = "batch long, part long, totals binary, keys_met long, sum_met long"
 #: Keys that a part holds on average at most.
@@ -48,6 +50,8 @@ def requests(batch: int, keys: np.ndarray, adds: np.ndarray, bits: int, first: i
 
 
 def _answer(part: pd.DataFrame) -> pd.DataFrame:
+    large_given_back()
+    release()  # what the part before left
     keys = [np.cumsum(unplanes(k, np.uint64)) for k in part["keys"]]
     ends = np.cumsum([len(k) for k in keys])
     together, place = np.unique(np.concatenate(keys), return_inverse=True)

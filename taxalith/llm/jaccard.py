@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, bounded, columns, fresh, staged, table, text_of, unstage
+from taxalith.llm.common import arrow_schema, bounded, columns, fresh, large_given_back, release, slices, staged, table, text_of, unstage
 from taxalith.llm.exchange import REQUESTS, answered, by_batch, part_bits, planes, requests, totals_of, unplanes
 from taxalith.llm.graph import components
 
@@ -105,6 +105,8 @@ def shingle_sets(documents: DataFrame, width: int = WIDTH, percent: int = PERCEN
                 prefix, match = screened_prefix(got, percent)
                 out.append((ident, key, len(got), class_of(got), planes(prefix), match))
             yield pa.RecordBatch.from_pydict({n: [r[i] for r in out] for i, n in enumerate(schema.names)}, schema=schema)
+        shingles.known.clear()
+        release()
 
     return documents.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(rows, SETS)
 
@@ -126,6 +128,9 @@ def full_sets(documents: DataFrame, width: int) -> DataFrame:
             got = [shingles(t) for t in texts]
             values = ([class_of(g) for g in got], [len(g) for g in got], [planes(g) for g in got], *zip(*map(parities, got)))
             yield pa.RecordBatch.from_pydict(dict(zip(schema.names, values)), schema=schema)
+            del got, values
+        shingles.known.clear()
+        release()
 
     return documents.select("doc_id", "text").mapInArrow(rows, FULL)
 
@@ -141,6 +146,7 @@ def packs(sets: DataFrame, column: str, most: int = 1_000_000) -> DataFrame:
 
         from pyspark import TaskContext
 
+        large_given_back()
         number, schema = itertools.count(TaskContext.get().partitionId() << 32), arrow_schema(PACKS)
 
         def flush():
@@ -157,6 +163,8 @@ def packs(sets: DataFrame, column: str, most: int = 1_000_000) -> DataFrame:
                     held, size = [], 0
         if held:
             yield flush()
+        held.clear()
+        release()
 
     return sets.select("node", "n", "l", column).mapInArrow(rows, PACKS)
 
@@ -167,16 +175,20 @@ def with_totals(packed: DataFrame) -> DataFrame:
 
     def ask(batches):
         schema = arrow_schema(REQUESTS)
-        for batch in batches:
+        large_given_back()
+        for batch in slices(batches):
             for number, data in zip(batch.column(0).to_pylist(), batch.column(batch.schema.get_field_index("elements")).to_pylist()):
                 asked = requests(number, *np.unique(unplanes(data, np.uint64), return_counts=True), bits)
                 yield pa.RecordBatch.from_pydict({n: [r[i] for r in asked] for i, n in enumerate(schema.names)}, schema=schema)
+                del asked, data
+        release()
 
     return packed.join(by_batch(answered(packed.mapInArrow(ask, REQUESTS))), "batch")
 
 
 def unpacked(batches):
     """(nodes, ns, ls, starts, elements, totals) of each pack, totals by element."""
+    large_given_back()
     for nodes, ns, ls, sizes, data, replies in columns(batches, "nodes", "ns", "ls", "sizes", "elements", "replies"):
         for row in zip(nodes, ns, ls, sizes, data, replies):
             elements = unplanes(row[4], np.uint64)
