@@ -101,9 +101,11 @@ def trained_in_task(rows: DataFrame, train: Callable[[list[str], list[int]], tup
     schema = "weights binary, numbers array<double>"
 
     def one(batches):
-        sample = sorted(row for batch in columns(batches, "doc_id", "text", "label") for row in zip(*batch))
-        weights, *numbers = train([t for _, t, _ in sample], [x for _, _, x in sample])
-        del sample
+        def split():  # train alone holds the lists, and can let go of them
+            sample = sorted(row for batch in columns(batches, "doc_id", "text", "label") for row in zip(*batch))
+            return [t for _, t, _ in sample], [x for _, _, x in sample]
+
+        weights, *numbers = train(*split())
         yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "numbers": [[float(x) for x in numbers]]}, schema=arrow_schema(schema))
         release()
 

@@ -16,6 +16,7 @@ columns as they are, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxalith.llm.common import arrow_schema, columns, crc_mod, labelled, table, text_of, trained_in_task
+from taxalith.llm.common import arrow_schema, columns, crc_mod, labelled, release, slices, table, text_of, trained_in_task
 
 BUCKETS, DIM, SMALLEST, LARGEST, WINDOW = 1 << 18, 8, 3, 6, 6
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -84,6 +85,14 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def summed(place: np.ndarray, values: Callable[[slice], np.ndarray], n: int, size: int = 100_000) -> np.ndarray:
+    """np.bincount(place, values, n) in the same order of additions, with the values made part by part, which takes less room."""
+    out = np.zeros(n)
+    for i in range(0, len(place), size):
+        np.add.at(out, place[i : i + size].astype(np.intp), values(slice(i, i + size)))
+    return out
+
+
 def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30, rate: float = 0.3, decay: float = 0.03) -> Model:
     """Fits embeddings and softmax together. One class only, or no rows: every score is that class's smoothed share."""
     y = np.asarray(labels, float)
@@ -92,16 +101,23 @@ def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30,
         return Model(np.zeros(BUCKETS, np.float32), 0.0, float(np.log(p / (1 - p))))
     known: dict[str, int] = {}
     bags = [np.fromiter((known.setdefault(w, len(known)) for w in words_of(t)), np.int32) for t in texts]
+    del texts
     bucket, owner, gram_n = grams_in_parts(list(known))
     known.clear()
-    spread = np.bincount(np.concatenate([np.unique(b) for b in bags]), minlength=len(gram_n))
-    used = np.flatnonzero(np.bincount(bucket, spread[owner], BUCKETS) >= np.clip(len(y) / 100, 5, 40))
-    place = np.searchsorted(used, bucket)
-    place[place == len(used)] = 0
-    often = used[place] == bucket if len(used) else np.zeros(len(bucket), bool)
-    gram, owner = place[often].astype(np.int32), owner[often].astype(np.int32)
+    spread = np.zeros(len(gram_n))
+    for b in bags:
+        spread[np.unique(b)] += 1
+    used = np.flatnonzero(summed(bucket, lambda s: spread[owner[s]], BUCKETS) >= np.clip(len(y) / 100, 5, 40))
+    place = np.full(BUCKETS, -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    gram = place[bucket]
+    del bucket
+    often = gram >= 0
+    gram, owner = gram[often], owner[often]
+    del often
     token = np.concatenate(bags)
     sizes = np.array([len(b) for b in bags])
+    del bags
     windows = np.maximum(1, -(-sizes // WINDOW))
     doc_of_window = np.repeat(np.arange(len(y), dtype=np.int32), windows)
     first = np.concatenate(([0], np.cumsum(windows)[:-1]))
@@ -118,8 +134,8 @@ def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30,
 
     def logits() -> tuple[np.ndarray, np.ndarray]:
         per_gram = emb @ (soft[:, 1] - soft[:, 0])
-        per_word = np.bincount(owner, per_gram[gram], len(gram_n)) / gram_n
-        return per_gram, np.bincount(window_of_token, per_word[token], len(window_n)) * share
+        per_word = summed(owner, lambda s: per_gram[gram[s]], len(gram_n)) / gram_n
+        return per_gram, summed(window_of_token, lambda s: per_word[token[s]], len(window_n)) * share
 
     for epoch in range(1, epochs + 1):
         _, per_window = logits()
@@ -131,8 +147,8 @@ def train(texts: list[str], labels: list[int], epochs: int = 80, warm: int = 30,
         z = np.add.reduceat(per_window * focus, first) + bias[1] - bias[0]
         delta = (sigmoid(z) - y) * weight
         to_window = delta[doc_of_window] * focus * share
-        to_word = np.bincount(token, to_window[window_of_token], len(gram_n)) / gram_n
-        to_gram = np.bincount(gram, to_word[owner], len(used))
+        to_word = summed(token, lambda s: to_window[window_of_token[s]], len(gram_n)) / gram_n
+        to_gram = summed(gram, lambda s: to_word[owner[s]], len(used))
         lean = soft[:, 1] - soft[:, 0]
         d_lean = to_gram @ emb
         grads = (np.outer(to_gram, lean), np.stack([-d_lean, d_lean], 1), np.array([-delta.sum(), delta.sum()]))
@@ -208,6 +224,8 @@ def score(documents: DataFrame, model: Model, cut: float = 0.7) -> DataFrame:
         for ids, held, texts in columns(batches, "doc_id", "held_out", "text"):
             s = scorer(texts)
             yield pa.RecordBatch.from_pydict({"doc_id": ids, "held_out": held, "score": s, "predicted": [int(x >= cut) for x in s]}, schema=arrow_schema(SCORES))
+        scorer.known.clear()
+        release()
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), text_of(documents).alias("text")).mapInArrow(rows, SCORES)
 
@@ -223,8 +241,10 @@ def without_toxic(documents: DataFrame, labels: DataFrame, cut: float = 0.7) ->
 
     def rows(batches):
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in slices(batches):
             s = scorer(batch.column(batch.schema.get_field_index("text")).to_pylist())
             yield batch.filter(pa.array([x < cut for x in s], pa.bool_()))
+        scorer.known.clear()
+        release()
 
     return documents.mapInArrow(rows, documents.schema)

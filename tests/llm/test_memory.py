@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from taxalith.llm import common, exchange, jaccard
+from taxalith.llm import common, exchange, jaccard, toxicity
 
 
 def peak(work) -> int:
@@ -26,6 +26,19 @@ def test_batches_become_python_values_in_slices():
     assert max(sum(map(len, filter(None, ts[:-1]))) for _, ts in got) <= 4_100_000
 
 
+def test_training_takes_bounded_room_per_word():
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 20_000, 2000)) for _ in range(400)]
+    labels = [i % 2 for i in range(400)]
+    assert peak(lambda: toxicity.train(texts, labels, epochs=2, warm=1)) < 62 * 800_000
+
+
+def test_sums_in_parts_equal_bincount():
+    rng = np.random.default_rng(2)
+    place, values = rng.integers(0, 50, 1234).astype(np.int32), rng.normal(size=1234)
+    assert (toxicity.summed(place, lambda s: values[s], 60, 100) == np.bincount(place, values, 60)).all()
+
+
 def test_packs_are_read_one_at_a_time():
     elements = np.arange(600_000, dtype=np.uint64)
     totals = exchange.planes(np.ones(600_000, np.uint64))
