@@ -67,7 +67,8 @@ def banded(lines: DataFrame, hashes: Column, n: Column) -> DataFrame:
     def fine(i: int) -> Column:
         """The ROWS least distinct hashes; all of a bin are looked at only where they repeat."""
         some, whole = F.col(f"_s{i}"), F.slice(F.array_distinct(between(i, i + 1)), 1, ROWS)
-        return F.when(F.size(F.array_distinct(some)) == F.size(some), key(BINS, i, some)).otherwise(key(BINS, i, whole))
+        repeats = reduce(Column.__or__, (F.coalesce(F.get(some, F.lit(j)) == F.get(some, F.lit(j + 1)), F.lit(False)) for j in range(ROWS - 1)))
+        return F.when(repeats, key(BINS, i, whole)).otherwise(key(BINS, i, some))
 
     def wide(g: int) -> Column:
         half = len(EDGES) // 2
@@ -84,20 +85,35 @@ PARITIES = [f"p{i}" for i in range(WORDS)]
 def with_parities(texts: DataFrame) -> DataFrame:
     """h, n (distinct shingles) and the parities of each line: bits that tell on which places an odd number of shingles fall.
 
-    Each shingle that only one of two sets holds flips one bit, so the sets differ in no fewer shingles than bits.
+    Each shingle that only one of two sets holds flips one bit, so the sets differ in no fewer shingles than bits. A word's bits
+    come of the hashes of one range, cut out of the sorted ones in compiled steps; exploded hashes would each be a row.
     """
-    each = texts.select("h", F.explode(F.array_distinct(shingles(F.col("line")))).alias("x"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
-    word = F.shiftright("x", 6).bitwiseAND(WORDS - 1)
-    return each.groupBy("h").agg(F.count("*").alias("n"), *(F.coalesce(F.bit_xor(F.when(word == i, bit)), F.lit(0)).alias(c) for i, c in enumerate(PARITIES)))
+    edges = [i << 60 for i in range(1 - WORDS // 2, WORDS // 2)]
+    out = texts.select("h", F.array_distinct(shingles(F.col("line"))).alias("_x"))
+    out = out.select("h", F.size("_x").cast("long").alias("n"), F.sort_array(F.concat("_x", F.array(*map(F.lit, edges)))).alias("_m"))
+    places = [F.lit(0), *(F.array_position("_m", F.lit(e)).cast("int") for e in edges), F.size("_m") + 1]
+    out = out.select("h", "n", "_m", *(x.alias(f"_p{i}") for i, x in enumerate(places)))
+    out = out.select("h", "n", *(F.slice("_m", F.col(f"_p{i}") + 1, F.col(f"_p{i + 1}") - F.col(f"_p{i}") - 1).alias(c) for i, c in enumerate(PARITIES)))
+
+    def flipped(bits: Column, x: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int")))
+
+    return out.select("h", "n", *(F.aggregate(c, F.lit(0).cast("long"), flipped).alias(c) for c in PARITIES))
+
+
+def _stripped(line: Column) -> Column:
+    """line without BLANK at its ends. Spark goes over all of a line to strip its right end, so only where there is something."""
+    blank = reduce(Column.__or__, (F.endswith(line, F.lit(c)) for c in BLANK))
+    return F.when(blank, F.btrim(line, F.lit(BLANK))).otherwise(F.ltrim(line, F.lit(BLANK)))
 
 
 def split_lines(documents: DataFrame) -> DataFrame:
     """doc, doc_id, line_no, line (normalised), n_chars, h (its class) and h2 (a second hash); blank lines are left out."""
-    text = text_of(documents)
-    each = F.posexplode(F.split(text, "\n", -1)).alias("line_no", "raw")
-    rows = documents.select(F.xxhash64(text).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), each)
-    line = rows.withColumn("line", F.lower(F.btrim("raw", F.lit(BLANK)))).drop("raw").filter("line != ''")
+    rows = documents.select(text_of(documents).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    # hashed in a step of its own: beside the generator it would be done above it, for each line over its whole document
+    rows = rows.select(F.xxhash64("text").alias("doc"), "doc_id", "text")
+    rows = rows.select("doc", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+    line = rows.filter(F.ltrim("raw", F.lit(BLANK)) != "").withColumn("line", F.lower(_stripped(F.col("raw")))).drop("raw")
     return line.withColumns({"n_chars": F.length("line").cast("long"), "h": F.xxhash64("line"), "h2": F.hash("line")})
 
 
@@ -113,6 +129,10 @@ def _may_link(percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (flipped * (100 + percent) <= (a + b) * (100 - percent))
 
 
+def _sizes() -> Column:
+    return (F.col("n") + F.col("b_n")).alias("sizes")
+
+
 def _hold(df: DataFrame) -> DataFrame:
     """Broadcasts a staged table of at most HELD rows of numbers."""
     return F.broadcast(df) if df.count() <= HELD else df
@@ -124,17 +144,19 @@ def class_lines(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose lines' sets are similar enough; texts: h and line."""
+    """The pairs whose lines' sets are similar enough; pairs: a, b and the sum of their numbers of distinct shingles, texts: h and line.
+
+    The sets' common part is one compiled expression, which leaves repeats out.
+    """
     left = texts.select(F.col("h").alias("a"), F.col("line").alias("x"))
     right = texts.select(F.col("h").alias("b"), F.col("line").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
-    sets = F.array(F.struct(F.array_distinct(shingles(F.col("x"))).alias("x"), F.array_distinct(shingles(F.col("y"))).alias("y")))
-    similar = F.exists(sets, lambda s: F.size(F.array_intersect(s.x, s.y)) * (100 + percent) >= (F.size(s.x) + F.size(s.y)) * percent)
-    return both.filter(similar).select("a", "b")
+    common = F.size(F.array_intersect(shingles(F.col("x")), shingles(F.col("y"))))
+    return both.filter(common.cast("long") * (100 + percent) >= F.col("sizes") * percent).select("a", "b")
 
 
 def _pairs(*pairs: DataFrame) -> DataFrame:
-    each = [p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) for p in pairs]
+    each = [p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *p.columns[2:]) for p in pairs]
     return reduce(DataFrame.unionByName, each).distinct()
 
 
@@ -150,7 +172,7 @@ def line_links(lines: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = _pairs(*(postings.filter(f"h != {x}").select(F.col("h").alias("a"), F.col(x).alias("b")) for x in ("lo", "any")))
     left = sized.withColumnRenamed("h", "a")
     right = sized.select(F.col("h").alias("b"), *(F.col(c).alias(f"b_{c}") for c in ("n", *PARITIES)))
-    pairs = pairs.join(left, "a").join(right, "b").filter(_may_link(percent)).select("a", "b")
+    pairs = pairs.join(left, "a").join(right, "b").filter(_may_link(percent)).select("a", "b", _sizes())
     links = staged(verified(pairs, texts, percent))
     return across(postings.select("key", "h"), links, texts, sized, percent)
 
@@ -169,7 +191,7 @@ def across(postings: DataFrame, links: DataFrame, texts: DataFrame, sized: DataF
     def met(named: DataFrame, others: DataFrame, apart: Column) -> DataFrame:
         others = others.select("at", F.col("h").alias("b"), F.col("root").alias("other"), *(F.col(c).alias(f"b_{c}") for c in ("own", "n", *PARITIES)))
         found = named.join(others, "at").filter(apart & _may_link(percent) & F.arrays_overlap("own", "b_own"))
-        return _pairs(found.select(F.col("h").alias("a"), "b"))
+        return _pairs(found.select(F.col("h").alias("a"), "b", _sizes()))
 
     def named(links: DataFrame) -> DataFrame:
         return own.join(components(links), F.col("h") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "h"))
